@@ -28,6 +28,12 @@ def first_arrivals(pages: DataFrame, seq: str = "seq") -> DataFrame:
     return named.agg(F.min("first_seq").alias("first_seq")).select("first_seq").unionAll(unnamed)
 
 
+def only_first(rows: DataFrame, firsts: DataFrame, seq: str = "seq") -> DataFrame:
+    """The rows that `first_arrivals` named. `rows` may be anything made from the pages that still
+    carries their `seq`: extracted records are far narrower to move than pages are."""
+    return rows.join(firsts.select(F.col("first_seq").alias(seq)), seq, "left_semi")
+
+
 def dedup_urls(pages: DataFrame, mode: str = "mark", seq: str = "seq") -> DataFrame:
     """First arrival per canonical URL, by `seq` (unique per row).
 
@@ -38,7 +44,7 @@ def dedup_urls(pages: DataFrame, mode: str = "mark", seq: str = "seq") -> DataFr
     firsts = first_arrivals(pages, seq)
     named = with_normalized_url(pages)
     if mode == "drop":
-        return named.join(firsts, named[seq] == firsts["first_seq"], "left_semi")
+        return only_first(named, firsts, seq)
     if mode != "mark":
         raise ValueError(f"mode must be 'mark' or 'drop', not {mode!r}")
     tagged = named.join(firsts, named[seq] == firsts["first_seq"], "left")
