@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanwork.functions.text import SPACE_CLASS, py_strip
+from gleanwork.functions.text import SPACE_CLASS, bind, py_strip
 
 _S = f"[{SPACE_CLASS}]"
 _MONTH = (
@@ -83,8 +83,8 @@ def _offset_seconds(part: Column) -> Column:
 
 def _build(parts: Column) -> Column:
     month_text = F.lower(F.substring(parts[1], 1, 3))
-    named = (F.instr(F.lit(_MONTH_ORDER), month_text) + 2) / 3
-    month = F.coalesce(_number(parts[1]), named.try_cast("int"))
+    named = ((F.instr(F.lit(_MONTH_ORDER), month_text) + 2) / 3).cast("int")
+    month = F.when(month_text < "a", _number(parts[1])).otherwise(named)
     local = F.try_make_timestamp(
         _number(parts[0]),
         month,
@@ -100,31 +100,37 @@ def _build(parts: Column) -> Column:
 
 def _within_calendar(ts: Column) -> Column:
     """Null outside the years 1 to 9999."""
-    return F.when((F.year(ts) >= 1) & (F.year(ts) <= 9999), ts)
+    return bind(ts, lambda t: F.when(F.year(t).between(1, 9999), t))
 
 
-def parse_relative_date(text: Column, as_of: datetime | Column) -> Column:
-    """Timestamp of the first `N unit ago` found anywhere in the text, or null."""
+def _relative(text: Column, as_of: datetime | Column) -> Column:
+    seconds = F.coalesce(*[F.when(F.lower(F.regexp_extract(text, RELATIVE, 2)).contains(w), F.lit(n)) for w, n in _UNIT_SECONDS])
     amount = F.regexp_extract(text, RELATIVE, 1).try_cast("bigint")
-    unit = F.lower(F.regexp_extract(text, RELATIVE, 2))
-    seconds = F.coalesce(*[F.when(unit.contains(word), F.lit(n)) for word, n in _UNIT_SECONDS])
-    # 400,000,000,000 s is beyond year 1 from any date, and keeps the product in range.
-    amount = F.when(amount <= 400_000_000_000, amount)
-    span = F.when(amount * seconds <= 400_000_000_000, amount * seconds)
+    # Far beyond year 1 from any date, and small enough for the product to stay in range.
+    limit = 400_000_000_000
     zero = F.lit(0)
-    past = F.try_subtract(
-        utc_literal(as_of), F.make_dt_interval(zero, zero, zero, span.cast("decimal(18,6)"))
-    )
-    return F.when(text.rlike(RELATIVE), _within_calendar(past))
+
+    def back(span: Column) -> Column:
+        past = F.make_dt_interval(zero, zero, zero, span.cast("decimal(18,6)"))
+        return F.when(span <= limit, F.try_subtract(utc_literal(as_of), past))
+
+    return bind(F.when(amount <= limit, amount) * seconds, back)
+
+
+def parse_relative_date(text: Column, as_of: datetime | Column) -> Column:
+    """Timestamp of the first `N unit ago` found anywhere in the text, or null."""
+    return bind(text, lambda t: F.when(t.rlike(RELATIVE), _within_calendar(_relative(t, as_of))))
 
 
 def parse_timestamp(text: Column, as_of: datetime | Column) -> Column:
     """Like `parse_date`, as a timestamp (UTC, whole seconds)."""
-    clean = py_strip(text)
-    notation = F.coalesce(*[F.when(clean.rlike(p), F.regexp_replace(clean, p, to)) for p, to in _REWRITES])
-    # The one-element transform binds the split parts once instead of re-deriving them per use.
-    absolute = F.transform(F.array(F.split(notation, r"\|")), _build)[0]
-    return F.date_trunc("second", F.coalesce(parse_relative_date(clean, as_of), _within_calendar(absolute)))
+
+    def parse(clean: Column) -> Column:
+        notation = F.coalesce(*[F.when(clean.rlike(p), F.regexp_replace(clean, p, to)) for p, to in _REWRITES])
+        absolute = bind(F.split(notation, r"\|"), _build)
+        return _within_calendar(F.when(clean.rlike(RELATIVE), _relative(clean, as_of)).otherwise(absolute))
+
+    return F.date_trunc("second", bind(py_strip(text), parse))
 
 
 def format_iso_utc(ts: Column) -> Column:
@@ -145,4 +151,4 @@ def fresh_at(published: Column, as_of: datetime | Column, hours: int = 24) -> Co
 
 def is_fresh(text: Column, as_of: datetime | Column, hours: int = 24) -> Column:
     """Freshness of a date text in any accepted notation."""
-    return fresh_at(parse_timestamp(text, as_of), as_of, hours)
+    return bind(parse_timestamp(text, as_of), lambda published: fresh_at(published, as_of, hours))

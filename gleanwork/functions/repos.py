@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanwork.functions.text import py_strip
+from gleanwork.functions.text import bind, py_strip
 
 # Fixed value: what counts as a repository link.
 REPO_LINK = r"(?i)https?://github\.com/([A-Za-z0-9_.-]+)/([A-Za-z0-9_.-]+)"
@@ -13,14 +13,12 @@ REPO_LINK = r"(?i)https?://github\.com/([A-Za-z0-9_.-]+)/([A-Za-z0-9_.-]+)"
 
 def github_owner_repo(url: Column) -> Column:
     """struct(owner, repo) of the first repository link in the text, or null."""
-    text = py_strip(url)
-    return F.when(
-        text.rlike(REPO_LINK),
-        F.struct(
-            F.regexp_extract(text, REPO_LINK, 1).alias("owner"),
-            F.regexp_replace(F.regexp_extract(text, REPO_LINK, 2), r"\.git$", "").alias("repo"),
-        ),
-    )
+    def split(text: Column) -> Column:
+        repo = F.regexp_replace(F.regexp_extract(text, REPO_LINK, 2), r"\.git$", "")
+        pair = F.struct(F.regexp_extract(text, REPO_LINK, 1).alias("owner"), repo.alias("repo"))
+        return F.when(text.rlike(REPO_LINK), pair)
+
+    return bind(py_strip(url), split)
 
 
 def repo_url(owner: Column, repo: Column) -> Column:

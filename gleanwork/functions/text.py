@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,15 @@ SPACE_CLASS = (
 )
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once per row, however often `use` mentions it.
+
+    An expression mentioned twice is computed twice inside conditional branches; a one-element
+    transform names it instead.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def py_strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
     return F.btrim(c, F.lit(WHITESPACE))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanwork.functions.text import SPACE_CLASS, py_strip
+from gleanwork.functions.text import SPACE_CLASS, bind, py_strip
 
 # Query keys that only track visits, and the schemes whose last path segment
 # may carry `;params`.
@@ -16,11 +16,12 @@ PARAM_SCHEMES = (
     "rtsp", "rtsps", "rtspu", "sip", "sips", "mms", "sftp", "tel",
 )
 
-_SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
-_AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/]*)"
-_BEFORE_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?"
+# Scheme, authority with its slashes, and path of a URL without query and fragment.
+_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/]*)?(.*)$"
+_TRACKING_PAIR = rf"(?i)^(?:{TRACKING_PREFIX}[^=]*|{'|'.join(TRACKING_KEYS)})(?:=|$)"
 _PARAMS = r"(?s)^((?:.*/)?[^/;]*);(.*)$"
-VALID_URL = rf"(?id)^https?://[^{SPACE_CLASS}/$.?#].[^{SPACE_CLASS}]*$"
+# The plain-ASCII run in front of the wide class only makes the common case fast.
+VALID_URL = rf"^[hH][tT][tT][pP][sS]?://[^{SPACE_CLASS}/$.?#][^\n][!-~]*+[^{SPACE_CLASS}]*+\z"
 
 
 def is_tracking_param(key: Column) -> Column:
@@ -29,34 +30,38 @@ def is_tracking_param(key: Column) -> Column:
 
 
 def _clean_query(query: Column) -> Column:
-    pairs = F.filter(
-        F.split(query, "&"),
-        lambda p: (p != "") & ~is_tracking_param(F.substring_index(p, "=", 1)),
-    )
-    return F.array_join(F.array_sort(pairs), "&")
+    kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(_TRACKING_PAIR))
+    return F.array_join(F.array_sort(kept), "&")
+
+
+def _clean_path(scheme: Column, path: Column) -> Column:
+    """Path without closing slashes; `;params` of the last segment stay behind it."""
+    slashless = F.rtrim(F.regexp_replace(path, _PARAMS, "$1"), F.lit("/"))
+    params = F.regexp_extract(path, _PARAMS, 2)
+    parted = F.concat(slashless, F.when(params != "", F.concat(F.lit(";"), params)).otherwise(""))
+    return F.when(path.contains(";") & scheme.isin(*PARAM_SCHEMES), parted).otherwise(F.rtrim(path, F.lit("/")))
+
+
+def _canonical(page: Column) -> Column:
+    base = F.substring_index(page, "?", 1)
+    parts = F.split(F.regexp_replace(base, _PARTS, "$1\x00$2\x00$3"), "\x00", 3)
+    query = F.when(page.contains("?"), _clean_query(F.substr(page, F.length(base) + 2))).otherwise("")
+
+    def assemble(p: Column) -> Column:
+        scheme = F.lower(p[0])
+        return F.concat(
+            F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
+            F.lower(p[1]),
+            _clean_path(scheme, p[2]),
+            bind(query, lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise("")),
+        )
+
+    return bind(parts, assemble)
 
 
 def normalize_url(url: Column) -> Column:
     """Canonical form used as the dedup key; null stays null."""
-    text = F.regexp_replace(py_strip(url), r"[\t\r\n]", "")
-    page = F.substring_index(text, "#", 1)
-    base = F.substring_index(page, "?", 1)
-    query = F.substr(page, F.length(base) + 2)
-
-    scheme = F.lower(F.regexp_extract(base, _SCHEME, 1))
-    host = F.lower(F.regexp_extract(base, _AUTHORITY, 1))
-    full_path = F.regexp_replace(base, _BEFORE_PATH, "")
-    splits = scheme.isin(*PARAM_SCHEMES) & full_path.contains(";")
-    path = F.when(splits, F.regexp_replace(full_path, _PARAMS, "$1")).otherwise(full_path)
-    params = F.when(splits, F.regexp_extract(full_path, _PARAMS, 2)).otherwise("")
-    clean = _clean_query(query)
-    return F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
-        F.when(base.rlike(_AUTHORITY), F.concat(F.lit("//"), host)).otherwise(""),
-        F.rtrim(path, F.lit("/")),
-        F.when(params != "", F.concat(F.lit(";"), params)).otherwise(""),
-        F.when(clean != "", F.concat(F.lit("?"), clean)).otherwise(""),
-    )
+    return bind(F.substring_index(F.translate(py_strip(url), "\t\r\n", ""), "#", 1), _canonical)
 
 
 def url_host(url: Column) -> Column:

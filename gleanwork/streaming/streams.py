@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gleanwork.functions.dates import fresh_at, parse_timestamp
+from gleanwork.functions.dates import is_fresh
 from gleanwork.operators.dedup import dedup_urls, skip_seen, with_normalized_url
 from gleanwork.operators.upsert import MergeRule
 from gleanwork.sources.store import TableStore
@@ -30,8 +30,7 @@ def stream_fresh_only(
     records: DataFrame, published: str = "published_date", event_time: str = "fetched_at", hours: int = 24
 ) -> DataFrame:
     """Records whose date lies within `hours` before their own event time, so a replay agrees."""
-    as_of = F.col(event_time)
-    return records.where(fresh_at(parse_timestamp(F.col(published), as_of), as_of, hours))
+    return records.where(is_fresh(F.col(published), F.col(event_time), hours))
 
 
 def stream_upsert(
