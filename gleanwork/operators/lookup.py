@@ -10,27 +10,33 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 
 
-def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """The at most HOT_SHARE keys that hold 1/HOT_SHARE of the rows or more."""
+def hot_keys(rows: DataFrame, key: str) -> list:
+    """The at most HOT_SHARE keys that hold 1/HOT_SHARE of the rows or more.
+
+    Runs one aggregation over the key column; only the hot keys reach the driver.
+    """
     counts = rows.groupBy(key).agg(F.count("*").alias("n_rows"))
     total = counts.agg(F.sum("n_rows").alias("n_total"))
-    return counts.where(F.col(key).isNotNull() & (F.col("n_rows") * HOT_SHARE >= total.scalar())).select(key)
+    heavy = counts.where(F.col(key).isNotNull() & (F.col("n_rows") * HOT_SHARE >= total.scalar()))
+    return [row[0] for row in heavy.select(key).collect()]
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """`rows` left-joined with `table`, which has at most one row per key.
 
-    Rows with a hot key are answered from a bounded broadcast and rows without a key need no
-    answer, so neither is shuffled; the rest meets `table` in a join without heavy keys. `rows` is
-    read more than once: stage it first if it is expensive to make.
+    Rows with a hot key are answered from a broadcast of at most HOT_SHARE rows, and rows without a
+    key need no answer, so neither is shuffled; the rest meets `table` in a join without heavy keys.
+    `rows` is read for the counts and again for the join: stage it first if it is expensive.
     """
     values = [c for c in table.columns if c != key]
-    hot = F.broadcast(hot_keys(rows, key))
-    hot_answers = F.broadcast(table.join(hot, key, "left_semi"))
-
-    cold = rows.where(F.col(key).isNotNull()).join(hot, key, "left_anti").join(table, key, "left")
-    warm = rows.join(hot, key, "left_semi").join(hot_answers, key, "left")
-    empty = [F.lit(None).cast(table.schema[v].dataType).alias(v) for v in values]
-    keyless = rows.where(F.col(key).isNull()).select(*rows.columns, *empty)
+    hot = hot_keys(rows, key)
     order = [*rows.columns, *values]
-    return cold.select(order).unionAll(warm.select(order)).unionAll(keyless)
+    column = F.col(key)
+    cold = rows.where(column.isNotNull() & ~column.isin(hot)).join(table, key, "left")
+    if hot:
+        answers = F.broadcast(table.where(column.isin(hot)))
+        direct = rows.where(column.isNull() | column.isin(hot)).join(answers, key, "left")
+    else:
+        blank = [F.lit(None).cast(table.schema[v].dataType).alias(v) for v in values]
+        direct = rows.where(column.isNull()).select(*rows.columns, *blank)
+    return cold.select(order).unionAll(direct.select(order))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from gleanwork.functions.names import normalize_entity_name, sequence_score
 from gleanwork.functions.text import py_strip
 from gleanwork.operators.lookup import lookup_join
+from gleanwork.session import staged
 
 THRESHOLD = 0.85
 # Names up to this length are joined on pairs of bigrams, longer ones on single bigrams.
@@ -78,113 +79,103 @@ def _threshold(t: float) -> Fraction:
     return Fraction(str(t))
 
 
-def _least_matched(total: Column, t: Fraction) -> Column:
+# The next few build SQL text: they nest lambdas over the columns `norm` and `grams`, which reads
+# better and is far quicker to set up as text than call by call.
+
+
+def _least_matched(total: str, t: Fraction) -> str:
     """ceil(t * total / 2) in integers."""
     p, q = t.numerator, 2 * t.denominator
-    return F.floor((total.cast("bigint") * p + (q - 1)) / q).cast("int")
+    return f"((CAST({total} AS BIGINT) * {p} + {q - 1}) DIV {q})"
+
 
+def _shared_bigrams(total: str, t: Fraction) -> str:
+    return f"(3 * {_least_matched(total, t)} - {total} - 1)"
 
-def _shared_bigrams(total: Column, t: Fraction) -> Column:
-    return 3 * _least_matched(total, t) - total - 1
+
+def _fewest(t: Fraction, share) -> str:
+    """Least of `share(T)` over the partners a name can have: those with
+    length * t/(2-t) <= partner <= length * (2-t)/t."""
+    p, q = t.numerator, 2 * t.denominator - t.numerator
+    length = "CAST(length(norm) AS BIGINT)"
+    least, most = f"(({length} * {p} + {q - 1}) DIV {q})", f"(({length} * {q}) DIV {p})"
+    totals = f"sequence({length} + {least}, {length} + greatest({least}, {most}))"
+    return f"array_min(transform({totals}, total -> {share('total', t)}))"
 
 
-def _grams(norm: Column, size: int) -> Column:
+def _grams(size: int) -> str:
     """Character n-grams with repeat numbers, so that counting them becomes set membership."""
-    last = F.length(norm) - (size - 1)
-    at = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    grams = F.transform(at, lambda i: F.substr(norm, i, F.lit(size)))
-    return F.transform(
-        grams,
-        lambda g, i: F.struct(
-            g.alias("gram"), F.size(F.filter(F.slice(grams, 1, i + 1), lambda x: x == g)).alias("copy")
-        ),
+    starts = f"IF(length(norm) >= {size}, sequence(1, length(norm) - {size - 1}), CAST(array() AS ARRAY<INT>))"
+    copy = "size(filter(slice(gs, 1, i + 1), x -> x = g))"
+    return (
+        f"transform(array(transform({starts}, i -> substr(norm, i, {size}))),"
+        f" gs -> transform(gs, (g, i) -> struct(g AS gram, {copy} AS copy)))[0]"
     )
 
 
-def _exploded(rows: DataFrame, size: int) -> DataFrame:
-    """(norm, gram, copy), one row per n-gram of each name."""
-    return rows.select("norm", F.explode(_grams(F.col("norm"), size)).alias("g")).select("norm", "g.gram", "g.copy")
+def _exploded(rows: DataFrame, t: Fraction) -> DataFrame:
+    """(norm, gram, copy): the bigrams of each name, and the characters of short ones, whose matches
+    may share fewer than two bigrams."""
+    short = f"{_fewest(t, _shared_bigrams)} < 2"
+    grams = F.expr(f"IF({short}, concat({_grams(2)}, {_grams(1)}), {_grams(2)})")
+    return rows.where("norm <> ''").select("norm", F.explode(grams).alias("g")).select("norm", "g.gram", "g.copy")
 
 
-def _rare_first(rows: DataFrame, order: DataFrame, size: int) -> DataFrame:
-    """(norm, grams): hashed grams of each name, rarest among the canonical names first."""
-    ranked = _exploded(rows, size).join(order, ["gram", "copy"], "left")
+def _rare_first(rows: DataFrame, order: DataFrame, t: Fraction) -> DataFrame:
+    """(norm, size, grams): hashed grams of each name by gram size, rarest among the canonicals first."""
+    ranked = _exploded(rows, t).join(order, ["gram", "copy"], "left")
     entry = F.struct(F.coalesce("n_forms", F.lit(0)).alias("n"), F.xxhash64("gram", "copy").alias("h"))
-    lists = ranked.groupBy("norm").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    return lists.select("norm", F.transform("entries", lambda e: e["h"]).alias("grams"))
-
-
-def _fewest(length: Column, t: Fraction, share) -> Column:
-    """Least of `share(T)` over the partners a name of this length can have: those with
-    length * t/(2-t) <= partner <= length * (2-t)/t."""
-    p, q = t.numerator, 2 * t.denominator - t.numerator
-    least = length + F.floor((length.cast("bigint") * p + (q - 1)) / q).cast("int")
-    most = length + F.floor(length.cast("bigint") * q / p).cast("int")
-    return F.array_min(F.transform(F.sequence(least, F.greatest(least, most)), lambda total: share(total, t)))
+    lists = ranked.groupBy("norm", F.length("gram").alias("size")).agg(
+        F.array_sort(F.collect_list(entry)).alias("entries")
+    )
+    return lists.select("norm", "size", F.expr("entries.h").alias("grams"))
 
 
-def _prefix(grams: Column, need: Column, k: int) -> Column:
+def _prefix(need: str, k: int) -> str:
     """The rarest entries among which two matching names must share `k`."""
-    size = F.size(grams)
-    return F.slice(grams, 1, F.greatest(F.least(size - F.greatest(need, F.lit(k)) + k, size), F.lit(0)))
+    wanted = f"size(grams) - greatest({need}, {k}) + {k}"
+    return f"slice(grams, 1, CAST(greatest(least({wanted}, size(grams)), 0) AS INT))"
 
 
-def _pairs(grams: Column) -> Column:
+def _pairs(grams: str) -> str:
     """All unordered pairs of entries, each as one hash."""
-    return F.flatten(
-        F.transform(
-            grams,
-            lambda g, i: F.transform(
-                F.slice(grams, i + 2, F.size(grams)), lambda h: F.xxhash64(F.least(g, h), F.greatest(g, h))
-            ),
-        )
+    pair = "xxhash64(least(g, h), greatest(g, h))"
+    return (
+        f"transform(array({grams}), gs -> flatten(transform(gs, (g, i) ->"
+        f" transform(slice(gs, i + 2, size(gs)), h -> {pair}))))[0]"
     )
 
 
 def _keys(rows: DataFrame, order: DataFrame, t: Fraction) -> DataFrame:
-    """(norm, key): every join key of every name. Names whose matches share two bigrams or more."""
-    length = F.length("norm")
-    need = _fewest(length, t, _shared_bigrams)
-    grams = _rare_first(rows, order, 2)
+    """(norm, key): every join key of every name."""
+    need, none = _fewest(t, _shared_bigrams), "CAST(array() AS ARRAY<BIGINT>)"
+    # Partners of a long name may be shorter than the limit; they carry keys of both kinds.
     limit = int(PAIR_LIMIT * t / (2 - t))
-    paired = F.when(length <= PAIR_LIMIT, _pairs(_prefix(F.col("grams"), need, 2)))
-    single = F.when(
-        length > limit, F.transform(_prefix(F.col("grams"), need, 1), lambda g: F.xxhash64(g))
-    )
-    none = F.array().cast("array<bigint>")
-    keys = F.array_distinct(F.concat(F.coalesce(paired, none), F.coalesce(single, none)))
-    return grams.select("norm", F.explode(keys).alias("key"))
-
-
-def _short_keys(rows: DataFrame, order: DataFrame, t: Fraction) -> DataFrame:
-    """(norm, key) on characters, for names that may match with fewer than two shared bigrams."""
-    length = F.length("norm")
-    short = rows.where((length > 0) & (_fewest(length, t, _shared_bigrams) < 2))
-    grams = _rare_first(short, order, 1)
-    need = _fewest(length, t, _least_matched)
-    return grams.select("norm", F.explode(_prefix(F.col("grams"), need, 1)).alias("key"))
+    pairs = f"IF(length(norm) <= {PAIR_LIMIT}, {_pairs(_prefix(need, 2))}, {none})"
+    single = f"IF(length(norm) > {limit}, transform({_prefix(need, 1)}, g -> xxhash64(g)), {none})"
+    characters = _prefix(_fewest(t, _least_matched), 1)
+    keys = F.expr(f"IF(size = 2, array_distinct(concat({pairs}, {single})), {characters})")
+    return _rare_first(rows, order, t).select("norm", F.explode(keys).alias("key"))
 
 
 def fuzzy_candidates(norms: DataFrame, forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Distinct (norm, form) pairs that may reach the threshold; every pair that does is among them."""
     t = _threshold(threshold)
     left, right = norms.select("norm"), forms.select("norm")
-    found = None
-    for size, keys in ((2, _keys), (1, _short_keys)):
-        order = _exploded(right, size).groupBy("gram", "copy").agg(F.count("*").alias("n_forms"))
-        mine = keys(left, order, t)
-        theirs = keys(right, order, t).withColumnRenamed("norm", "form")
-        pairs = mine.join(theirs, "key").where(_may_reach(F.col("norm"), F.col("form"), t)).select("norm", "form")
-        found = pairs if found is None else found.unionAll(pairs)
-    return found.distinct()
-
-
-def _may_reach(a: Column, b: Column, t: Fraction) -> Column:
-    """Cheap bounds on the ratio: matched characters fit in the shorter name, and the edit distance
-    is at most the number of unmatched characters, T - 2M."""
-    total = F.length(a) + F.length(b)
+    order = _exploded(right, t).groupBy("gram", "copy").agg(F.count("*").alias("n_forms"))
+    theirs = _keys(right, order, t).withColumnRenamed("norm", "form")
+    pairs = _keys(left, order, t).join(theirs, "key")
+    return pairs.where(_may_reach(t)).select("norm", "form").distinct()
+
+
+def _may_reach(t: Fraction) -> Column:
+    """Cheap bounds on the ratio of (norm, form): matched characters fit in the shorter name, and
+    the edit distance is at most the number of unmatched characters, T - 2M."""
+    total = "(length(norm) + length(form))"
     least = _least_matched(total, t)
-    return (F.least(F.length(a), F.length(b)) >= least) & (F.levenshtein(a, b) <= total - 2 * least)
+    return F.expr(
+        f"least(length(norm), length(form)) >= {least} AND levenshtein(norm, form) <= {total} - 2 * {least}"
+    )
 
 
 def best_match(scored: DataFrame) -> DataFrame:
@@ -253,7 +244,10 @@ def resolve_entities(
     aliases: DataFrame | None = None,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """`names` (raw_name, entity_type, source_url, …) with canonical name, method and confidence."""
+    """`names` (raw_name, entity_type, source_url, …) with canonical name, method and confidence.
+
+    The answers per distinct name are worked out at once and staged; the join back to the rows is lazy.
+    """
     if aliases is None:
         aliases = default_aliases(names.sparkSession)
     raw = py_strip(F.col("raw_name"))
@@ -265,7 +259,7 @@ def resolve_entities(
     answers = resolve_norms(
         keyed.where(F.col("norm").isNotNull()).select("norm"), canonicals, aliases, threshold
     )
-    joined = lookup_join(keyed, answers, "norm")
+    joined = lookup_join(keyed, staged(answers, "resolved-names"), "norm")
     named = F.col("norm").isNotNull()
     return joined.select(
         *names.columns,

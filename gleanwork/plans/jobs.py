@@ -12,18 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.operators import dedup, enrich, extract, records, resolve, validate
-from gleanwork.session import scratch_dir
+from gleanwork.session import staged
 from gleanwork.sources.export import export_all
 from gleanwork.sources.store import TableStore
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """Written to the shared scratch folder and read back: later passes and lost executors find it there."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def usable(found: DataFrame, pages: DataFrame) -> DataFrame:
     """Of the records extracted from `pages`: first arrival per canonical URL, failed fetches dropped.
 

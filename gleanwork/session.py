@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on: dates are formatted in the session zone, and hot keys are
 # split at run time on top of what the operators do themselves.
@@ -44,3 +44,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not shared:
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written to the shared scratch folder and read back.
+
+    For results that are expensive and read more than once: later passes do not repeat their
+    making, and a lost executor takes nothing with it.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
