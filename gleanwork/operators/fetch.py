@@ -33,9 +33,11 @@ def fetch_outcome(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
     again = status.isNull() | (status == 429) | status.between(500, 599)
     settles = ~again | (F.col("attempt") >= max_retries)
     row = F.struct("attempt", "status", "content", "headers", "exception", "elapsed_seconds")
+    # An attempt that settles nothing has no content worth carrying.
+    no_content = F.lit(None).cast("string").alias("content")
     folded = tries.groupBy("url").agg(
         F.min_by(row, F.when(settles, F.col("attempt"))).alias("settled"),
-        F.max_by(row, "attempt").alias("latest"),
+        F.max_by(F.struct("attempt", "status", no_content, "headers", "exception", "elapsed_seconds"), "attempt").alias("latest"),
     )
     last = F.coalesce("settled", "latest")
     return folded.select(

@@ -5,6 +5,10 @@ Layout of a table: `<root>/<table>/data/<uuid>/` holds Parquet written once and
 file is the commit, and it fails where the version exists already, so a reader always sees a whole
 table and two writers cannot publish the same version. Files go through the Hadoop file system of
 the session, hence any storage Spark can reach.
+
+A batch of an upsert writes its new rows and, apart from them, the values it changes in stored
+rows; readers join these changes in. So a small batch costs one pass over the stored keys and no
+rewrite. Once MAX_CHANGES batches have piled up, the next one writes the table out merged.
 """
 
 from __future__ import annotations
@@ -19,6 +23,9 @@ from pyspark.sql import functions as F
 from gleanwork import schemas
 from gleanwork.operators import records, upsert
 
+MAX_CHANGES = 16
+RULES = {"research_papers": upsert.PAPERS, "jobs": upsert.JOBS, "news": upsert.NEWS}
+
 
 def _batch_key(batch: str) -> tuple[str, int]:
     """`source#7` is step 7 of a source whose steps come in order; a bare name is its only step."""
@@ -74,16 +81,20 @@ class TableStore:
     def manifest(self, table: str) -> dict:
         number = self.version(table)
         if not number:
-            return {"version": 0, "folders": [], "max_id": 0, "batches": {}}
+            return {"version": 0, "folders": [], "changes": [], "max_id": 0, "batches": {}}
         return json.loads(self._read_text(f"{self.root}/{table}/versions/{number:010d}.json"))
 
-    def _publish(self, table: str, base: dict, folders: list[str], max_id: int, batch: str | None) -> None:
+    def _publish(
+        self, table: str, base: dict, folders: list[str], max_id: int, batch: str | None, changes: list[str] = ()
+    ) -> None:
         number = base["version"] + 1
         batches = dict(base["batches"])
         if batch:
             source, step = _batch_key(batch)
             batches[source] = step
-        body = {"version": number, "folders": folders, "max_id": max_id, "batches": batches}
+        body = {
+            "version": number, "folders": folders, "changes": list(changes), "max_id": max_id, "batches": batches,
+        }
         self._write_new(f"{self.root}/{table}/versions/{number:010d}.json", json.dumps(body))
 
     def _write(self, table: str, rows: DataFrame) -> str:
@@ -110,7 +121,20 @@ class TableStore:
 
     def read_table(self, table: str) -> DataFrame:
         """All rows of the current version."""
-        folders = self.manifest(table)["folders"]
+        manifest = self.manifest(table)
+        rows = self._rows(table, manifest["folders"])
+        if not manifest["changes"]:
+            return rows
+        rule = RULES[table]
+        changed = [c for c in rows.columns if c in (*rule.filled, *rule.present)]
+        written = self.spark.read.schema(
+            rows.select(rule.key, *changed, F.lit(0).cast("bigint").alias("step")).schema
+        ).parquet(*manifest["changes"])
+        newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("step"))).alias(c) for c in changed]
+        folded = written.groupBy(rule.key).agg(*newest).select(rule.key, F.struct(*changed).alias("newest"))
+        return upsert.updated_rows(rows, folded, rule)
+
+    def _rows(self, table: str, folders: list[str]) -> DataFrame:
         if not folders:
             return self.empty(table)
         return self.spark.read.schema(schemas.TABLES[table]).parquet(*folders)
@@ -149,6 +173,8 @@ class TableStore:
         stamped = records.stamp_collected_at(numbered, batch_ts, stamp)
         folder = self._write(table, self._conform(table, stamped))
         self._publish(table, base, [*base["folders"], folder], base["max_id"] + staged.count(), batch)
+        if len(base["folders"]) >= 8 * MAX_CHANGES:
+            self.compact(table)
 
     def append_startups(self, rows: DataFrame, batch_ts: datetime, **kw) -> None:
         self.append("startups", rows, batch_ts, **kw)
@@ -167,13 +193,24 @@ class TableStore:
         base = self.manifest(table)
         if _applied(base, batch):
             return
-        snapshot = self.read_table(table)
+        stored = self._rows(table, base["folders"])
         folded = self._stage(table, upsert.fold_delta(delta, rule, seq))
-        new = self._stage(table, upsert.inserted_rows(upsert.new_keys(snapshot, folded, rule), rule))
+        new = self._stage(table, upsert.inserted_rows(upsert.new_keys(stored, folded, rule), rule))
         numbered = records.stamp_collected_at(upsert.assign_ids(new, base["max_id"]), batch_ts)
-        merged = upsert.updated_rows(snapshot, folded, rule)
-        folders = [self._write(table, self._conform(table, part)) for part in (merged, numbered)]
-        self._publish(table, base, folders, base["max_id"] + new.count(), batch)
+        known = folded.join(new.select(rule.key), rule.key, "left_anti")
+        change = known.select(rule.key, "newest.*", F.lit(base["version"]).cast("bigint").alias("step"))
+
+        folders = [*base["folders"], self._write(table, self._conform(table, numbered))]
+        changes = [*base["changes"], self._write(table, change)]
+        self._publish(table, base, folders, base["max_id"] + new.count(), batch, changes)
+        if len(changes) > MAX_CHANGES:
+            self.compact(table)
+
+    def compact(self, table: str) -> None:
+        """Publish the same rows as one folder without pending changes."""
+        base = self.manifest(table)
+        folder = self._write(table, self.read_table(table))
+        self._publish(table, base, [folder], base["max_id"], None)
 
     def upsert_papers(self, delta: DataFrame, batch_ts: datetime, **kw) -> None:
         self.upsert("research_papers", delta, upsert.PAPERS, batch_ts, **kw)

@@ -12,6 +12,7 @@ from gleanwork import schemas
 from gleanwork.operators import upsert, validate
 from gleanwork.plans import jobs
 from gleanwork.sources import inputs
+from gleanwork.sources import store as store_module
 from gleanwork.sources.export import LAYOUTS, export_layout, write_csv
 from gleanwork.sources.store import TableStore
 from gleanwork.streaming import streams
@@ -56,6 +57,18 @@ def test_upsert_keeps_ids_and_skips_replays(spark, store):
     assert validate.duplicate_keys(store.read_table("news"), "news").count() == 0
 
 
+def test_changes_pile_up_and_are_merged(spark, store):
+    expected = {}
+    for i in range(store_module.MAX_CHANGES + 3):
+        url, title = f"u{i % 3}", None if i % 4 == 0 else f"t{i}"
+        store.upsert_news(news(spark, (i, url, title, None if i % 5 == 0 else i % 2 == 0)), T1, batch=f"s#{i}")
+        old = expected.get(url, (len(expected) + 1, None, None))
+        expected[url] = (old[0], title or old[1] or "Untitled", (i % 2 == 0) if i % 5 else (old[2] or False))
+        if i in (5, store_module.MAX_CHANGES + 2):
+            assert {r.source_url: (r.id, r.title, r.is_fresh) for r in store.read_table("news").collect()} == expected
+            assert len(store.manifest("news")["changes"]) == (6 if i == 5 else 2)
+
+
 def test_two_writers_cannot_publish_one_version(spark, store):
     base = store.manifest("news")
     store._publish("news", base, [], 0, None)
