@@ -92,6 +92,10 @@ class PageReader(HTMLParser):
         self.ld_spans: list[_Span] = []
         self.time: str | None = None
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Line numbers are of no use here and cost a pass over the text."""
+        return j
+
     # -- text -------------------------------------------------------------------------------
 
     def handle_data(self, data: str) -> None:
