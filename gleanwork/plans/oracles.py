@@ -21,7 +21,8 @@ _SHORT = """src AS (SELECT page_id AS id, regexp_extract(url, '^([^/]+//[^/]+/[a
     || '/?utm_campaign=' || page_id AS u, html FROM pages),""" + _CANON
 _PLACED = f"""WITH {_SHORT},
 placed AS (SELECT id, u, normalized_url, row_number() OVER (PARTITION BY normalized_url ORDER BY id) AS place FROM canon)"""
-_UNESCAPE = "replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+# A cut-off `&amp` without its semicolon counts as well.
+_UNESCAPE = "regexp_replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"
 
 
 def _tag(name: str) -> str:
@@ -59,7 +60,8 @@ SELECT p_partkey,
   CASE p_partkey % 6 WHEN 0 THEN 'alias' WHEN 1 THEN 'normalized' WHEN 2 THEN 'fuzzy' ELSE 'unresolved' END AS resolution_method,
   CASE p_partkey % 6 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE
     WHEN 2 THEN round(2 * (length(p_name) - 1) / (2.0::DOUBLE * length(p_name) - 1), 2)
-    WHEN 3 THEN CASE WHEN EXISTS (SELECT 1 FROM part q WHERE q.p_name SIMILAR TO '.*[zqx' || (part.p_partkey % 7) || '].*') THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END
+    WHEN 3 THEN CASE WHEN list_has_any((SELECT list(DISTINCT c) FROM (SELECT unnest(string_split(p_name, '')) AS c FROM part)),
+      ['z', 'q', 'x', (p_partkey % 7)::VARCHAR]) THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END
     ELSE 0.0::DOUBLE END AS confidence
 FROM part"""
 
