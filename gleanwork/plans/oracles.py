@@ -48,7 +48,6 @@ _FRESH_AT = f"ts <= {_AS_OF} AND date_trunc('second', ts) >= {_AS_OF} - INTERVAL
 # -- names --
 
 _LOST = "substr(p_name, 1, length(p_name) // 2) || substr(p_name, length(p_name) // 2 + 2)"
-_SHOWN = r"regexp_replace(p_name, '(\w)(\w*) (\w)(\w*)', 'x')"
 _INITCAP = "array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
 _RESOLVED = f"""
 SELECT p_partkey,

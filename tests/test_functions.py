@@ -3,7 +3,6 @@ from urllib.parse import urlsplit
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from gleanwork.functions import dates, names, records, repos, text, urls
 
