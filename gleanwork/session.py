@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,8 @@ REQUIRED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+_scratch: list[str] = []
+
 
 def build_session(master: str | None = None, app: str = "gleanwork", **conf: str) -> SparkSession:
     """A session with the settings above. On a cluster leave `master` to spark-submit."""
@@ -34,16 +37,37 @@ def ensure_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path for intermediate tables.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share for intermediate tables.
 
-    On a cluster it lies under the shared `spark.checkpoint.dir`, so losing an executor loses
-    nothing. Only where that is unset (local tests) a temporary folder stands in.
+    `spark.checkpoint.dir` names it, or a `setCheckpointDir` call. Only a local master may do
+    without: executors of a cluster would each write to a disk of their own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        shared = held.get() if held.isDefined() else None
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh path for intermediate tables under the shared folder; `clear_scratch` removes it."""
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables made so far. Results not yet written must not need them."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
@@ -53,5 +77,5 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     making, and a lost executor takes nothing with it.
     """
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
