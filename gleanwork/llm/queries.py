@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import exact_dedup, minhash, mixing, quality_rules, url_filter
-from gleanwork.session import ensure_settings
+from gleanwork.llm import exact_dedup, minhash, mixing, quality_rules, token_files, url_filter
+from gleanwork.session import ensure_settings, scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,12 +40,22 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    path = scratch_dir(spark, "token-files")
+    token_files.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    files = token_files.read_token_files(spark, path)
+    sums = token_files.checksums(files)
+    return token_files.starts(files).join(sums, ["file", "row"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op7_near_dedup": op7_near_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op9_token_files": op9_token_files,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -79,7 +90,7 @@ ORACLES = {
         s AS (
             SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
                 WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
         n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
         e AS (SELECT doc_id, unnest(s) AS x FROM s),
         common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
