@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import exact_dedup, minhash, mixing, quality_rules, token_files, url_filter
+from gleanwork.llm import exact_dedup, minhash, mixing, pieces, quality_rules, token_files, url_filter
 from gleanwork.session import ensure_settings, scratch_dir
 
 
@@ -18,6 +19,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The library's ids of every text, two sampled segmentations, and whether the text comes back."""
+    docs = _table(spark, sf_dir, "documents")
+    return pieces.encode_and_sample(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_ids=False)
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.filter_urls(pages, url_filter.is_spam_host(F.col("host")))
@@ -49,8 +56,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.starts(files).join(sums, ["file", "row"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op7_near_dedup": op7_near_dedup,
