@@ -28,16 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanwork.llm.units import Memo
+from gleanwork.llm.units import Memo, per_process
 
 END_ID = 0
 TEXT_PER_FILE = 128 << 20  # characters
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 # Texts encoded together: bounds the memory of a batch.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
 
-_ODD = re.compile(r"^\s|\s\s|\s$")
+_ODD = re.compile(r" (?:\s|\Z)")
+MEMO_WORDS = 600_000
 
 
 def pieces(text: str) -> list[str]:
@@ -58,9 +59,9 @@ def pieces(text: str) -> list[str]:
 
 def _fast_pieces(text: str) -> list[str]:
     """`pieces` for the common case, without a Python step per word."""
-    if "  " in text or " \n" in text or " \t" in text or text[-1:] == " " or not text.isprintable() and _ODD.search(text):
+    if "\0" in text or _ODD.search(text):
         return pieces(text)
-    return text.replace(" ", "\0 ").split("\0") if "\0" not in text else pieces(text)
+    return text.replace(" ", "\0 ").split("\0")
 
 
 class ByteEncoder:
@@ -71,8 +72,7 @@ class ByteEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
-        self.words = Memo(self._library, 400_000)
-        self.memo = Memo(self._from_words, 300_000)
+        self.memo = Memo(self._library, MEMO_WORDS, self._parts)
 
     def _library(self, words: list[str]) -> list[list[int]]:
         out: list[list[int]] = []
@@ -90,11 +90,6 @@ class ByteEncoder:
             return [piece[:-1], piece[-1]]
         return [piece]
 
-    def _from_words(self, new: list[str]) -> list[list[int]]:
-        ids, sizes = self.words.ids_of([self._parts(p) for p in new])
-        ends = np.cumsum(sizes).tolist()
-        return [ids[e - s : e] for e, s in zip(ends, sizes.tolist())]
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, flat, and how many each has."""
         return self.memo.ids_of([_fast_pieces(t) for t in texts])
@@ -114,7 +109,7 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]
 
 def _encode(tokenizer_file: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteEncoder(tokenizer_file)
+        encoder = per_process(("bytes", tokenizer_file), lambda: ByteEncoder(tokenizer_file))
         for batch in batches:
             for part, texts in _blocks(batch):
                 ids, sizes = encoder.encode(texts)
@@ -139,8 +134,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, key: str
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_files = max(1, -(-chars // text_per_file), min(least, -(-chars // (4 << 20))))
+    wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Small tables are spread as far as the session spreads its shuffles, but not below 4 MB a file.
+    n_files = max(1, -(-chars // text_per_file), min(wanted, -(-chars // (4 << 20))))
     dealt = rows.repartitionByRange(n_files, F.col("doc_id").asc_nulls_first())
     dealt = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     encoded = dealt.mapInArrow(_encode(tokenizer_file, end_id), f"doc_id {id_type}, n_tokens bigint, tokens array<int>")
