@@ -141,3 +141,92 @@ def within(a: list[np.ndarray], b: list[np.ndarray], distance: int) -> np.ndarra
         if last.any():
             done[last] = cell[last, end[last]]
     return near & (done <= distance)
+
+
+def _verify(distance: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("x", "y"))
+            sizes = np.array([len(t) for t in y], np.int64)
+            order = np.argsort(sizes, kind="stable")
+            good = np.zeros(batch.num_rows, bool)
+            at = 0
+            while at < len(order):
+                # Pairs of about one length go together; a very long pair goes alone.
+                end = at + 1
+                while end < len(order) and (end + 1 - at) * (sizes[order[end]] + 8) <= BLOCK_CELLS:
+                    end += 1
+                part = order[at:end]
+                codes = [[np.frombuffer(t[i].encode("utf-32-le"), np.int32) for i in part] for t in (x, y)]
+                good[part] = within(*codes, distance)
+                at = end
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index(c)).filter(pa.array(good)) for c in ("a", "b")], ["a", "b"])
+
+    return run
+
+
+def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, rid, line_no, line) of every line with a word."""
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("print"), F.col(f"`{text}`").alias("text"))
+    cut = rows.select("id", "print", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return cut.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+
+
+def line_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE,
+                min_chars: int = MIN_CHARS) -> DataFrame:
+    """One row per distinct line: h1, h2 (its fingerprint), n (times it occurs), label (its group), first.
+
+    `first` is the struct (id is null, id, line_no) of the group's first line, so the line that stays.
+    """
+    lines = _lines(docs, key, text)
+    prints = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.reverse("line")).alias("h2")]
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "print", "line_no")
+    # Equal lines fold before the shuffle; the line itself travels once per map task.
+    distinct = (
+        lines.select(*prints, place.alias("place"), "line").groupBy("h1", "h2")
+        .agg(F.count("*").alias("n"), F.min("place").alias("place"), F.first("line").alias("line"))
+    )
+    distinct = staged(distinct.withColumn("item", F.monotonically_increasing_id()).withColumn("length", F.length("line")), "lines")
+    long_ = distinct.where(F.col("length") >= max(min_chars, distance + 1)).select("item", "line", "length")
+    met = keys(long_, distance)
+    texts = distinct.select("item", "line")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        lengths = distinct.select("item", "length")
+        near = (
+            pairs.join(lengths.select(F.col("item").alias("a"), F.col("length").alias("la")), "a")
+            .join(lengths.select(F.col("item").alias("b"), F.col("length").alias("lb")), "b")
+            .where(F.abs(F.col("la") - F.col("lb")) <= distance)
+        )
+        both = near.join(texts.select(F.col("item").alias("a"), F.col("line").alias("x")), "a").join(
+            texts.select(F.col("item").alias("b"), F.col("line").alias("y")), "b")
+        return both.select("a", "b", "x", "y").mapInArrow(_verify(distance), "a bigint, b bigint")
+
+    labels = linked(met.select("bucket", "item").distinct() if False else met.select("bucket", "item"), verify)
+    marked = distinct.select("h1", "h2", "n", "item", "place").join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
+    marked = staged(marked, "marked")
+    first = marked.groupBy("label").agg(F.min("place").alias("first"))
+    return marked.join(first, "label").select("h1", "h2", "n", "label", "first")
+
+
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE,
+                min_chars: int = MIN_CHARS) -> DataFrame:
+    """One row per line with a word: `key`, line_no (from 0), label of its group, kept, line_chars."""
+    copies = staged(line_copies(docs, key, text, distance, min_chars), "copies")
+    lines = _lines(docs, key, text).select(
+        "id", "print", "line_no", F.length("line").alias("line_chars"),
+        F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.reverse("line")).alias("h2"))
+    # Unique on the right; a line that holds a large share of the rows is split by the adaptive join.
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "print", "line_no")
+    return lines.join(copies, ["h1", "h2"]).select(
+        F.col("id").alias(key), "print", "line_no", "label", (own == F.col("first")).alias("kept"), "line_chars")
+
+
+def summarise(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per document that has lines: `key`, n_lines, n_dropped, dropped_chars, kept_lines (their numbers' hash)."""
+    gone = ~F.col("kept")
+    return lines.groupBy(key).agg(
+        F.count("*").alias("n_lines"), F.count(F.when(gone, 1)).alias("n_dropped"),
+        F.coalesce(F.sum(F.when(gone, F.col("line_chars"))), F.lit(0)).cast("long").alias("dropped_chars"),
+    )
