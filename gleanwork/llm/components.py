@@ -2,8 +2,8 @@
 
 `linked` verifies few pairs of a bucket and loses no link between components: every member is first
 compared with one leader of its bucket, so that a group of real copies falls into one component with one
-comparison each. Only members that are still in different components are compared further. A bucket of n
-members, all alike, costs n comparisons.
+comparison each. Only members that are still in different components are compared further, in large buckets
+by finer keys. A bucket of n members, all alike, costs n comparisons.
 
 `components` contracts stars (large-star and small-star in turn): every round is two aggregations with
 map-side combining and two joins, a hot vertex is an ordinary row of each, and rounds grow with the logarithm
@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from gleanwork.session import staged
 
-LEADER_ROUNDS = 3
-# Further leader rounds are taken while open pairs outnumber open members so many times.
-PAIRS_PER_MEMBER = 8
+LEADER_ROUNDS = 2
+# Up to so many open members of a bucket are compared with each other: linear in the members.
+HOT_MEMBERS = 64
 
 
 def _summary(edges: DataFrame) -> tuple:
@@ -53,46 +53,52 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("item"), F.col("b").alias("label")).unionAll(roots.select("item", F.col("item").alias("label")))
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], pairs_per_member: int = PAIRS_PER_MEMBER) -> DataFrame:
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None,
+           prepare: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """(item, label) of the components that `verify` finds inside buckets.
 
-    `members` has (bucket, item), both longs and distinct; `verify` takes distinct pairs (a, b), a < b, and
-    returns those that are links. Two items are linked when some bucket holds both and `verify` says so.
-    The labels are those of all such links, although not every link is looked at: pairs that are already
-    in one component need no look.
+    `members` has (bucket, item), both longs; `verify` takes distinct pairs (a, b), a < b, and returns those
+    that are links. The labels are those of all links inside buckets, although not every link is looked
+    at: pairs that are already in one component need no look. `prepare` is called once with the items that
+    may be asked about. A bucket that still holds more than `HOT_MEMBERS` members of different components
+    after the leader rounds is handed to `refine`, which gives finer members (bucket, item) for it; without
+    `refine` its open pairs are all looked at.
     """
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("item").alias("low")).where("n > 1")
-    # One shuffle of all members; only members of buckets with company go on.
-    shared = staged(members.join(sizes, "bucket"), "members")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("item").alias("low"), F.max("item").alias("high"))
+    sizes = sizes.where("low <> high")
+    # Members go through two shuffles of narrow rows; only those of buckets with company go on.
+    shared = staged(members.join(sizes, "bucket").select("bucket", "item", "n", "low"), "members")
+    if prepare:
+        prepare(shared.select("item").distinct())
     first = shared.where("item <> low").select(F.col("low").alias("a"), F.col("item").alias("b")).distinct()
     links = staged(verify(first), "links")
     labels = staged(components(links), "labels")
-    open_ = shared.where("n > 2").select("bucket", "item")
-    for round_ in range(LEADER_ROUNDS + 1):
-        # (bucket, item, label) of buckets that still hold more than one component.
-        marked = open_.join(labels, "item", "left").select("bucket", "item", F.coalesce("label", "item").alias("label"))
-        mixed = marked.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("bucket")
-        open_ = staged(marked.join(mixed, "bucket").select("bucket", "item", "label"), "open")
-        per_label = open_.groupBy("bucket", "label").agg(F.count("*").alias("k"))
-        load = (
-            per_label.groupBy("bucket").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("same"))
-            .agg(F.sum("n").alias("members"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
-        )
-        if not load["members"]:
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        """(bucket, item, label, n) of the buckets that hold more than one component."""
+        marked = rows.join(labels, "item", "left").select("bucket", "item", F.coalesce("label", "item").alias("label"))
+        mixed = marked.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n"))
+        return staged(marked.join(mixed.where("l <> h").select("bucket", "n"), "bucket").select("bucket", "item", "label", "n"), "open")
+
+    def across(rows: DataFrame) -> DataFrame:
+        """All pairs of a bucket that are in different components."""
+        other = rows.select("bucket", F.col("item").alias("b"), F.col("label").alias("label_b"))
+        return rows.withColumnRenamed("item", "a").join(other, "bucket").where("a < b and label <> label_b").select("a", "b")
+
+    open_ = still_open(shared.where("n > 2").select("bucket", "item"))
+    for round_ in range(LEADER_ROUNDS):
+        if open_.isEmpty():
             return labels
-        final = load["pairs"] <= pairs_per_member * load["members"] or round_ == LEADER_ROUNDS
-        if final:
-            other = open_.select("bucket", F.col("item").alias("b"), F.col("label").alias("label_b"))
-            pairs = open_.withColumnRenamed("item", "a").join(other, "bucket").where("a < b and label <> label_b").select("a", "b").distinct()
-        else:
-            # The leader of this round is any member, drawn by hash.
-            lead = open_.groupBy("bucket").agg(F.min_by(F.struct("item", "label"), F.xxhash64(F.lit(round_), "item")).alias("lead"))
-            met = open_.join(lead, "bucket").where("label <> lead.label")
-            pairs = met.select(F.least("item", "lead.item").alias("a"), F.greatest("item", "lead.item").alias("b")).distinct()
-        found = staged(verify(pairs), "links")
-        links = links.unionAll(found)
+        # The leader of this round is any member, drawn by hash.
+        lead = open_.groupBy("bucket").agg(F.min_by(F.struct("item", "label"), F.xxhash64(F.lit(round_), "item")).alias("lead"))
+        met = open_.where(F.col("n") > HOT_MEMBERS).join(lead, "bucket").where("label <> lead.label")
+        pairs = met.select(F.least("item", "lead.item").alias("a"), F.greatest("item", "lead.item").alias("b")).distinct()
+        links = links.unionAll(staged(verify(pairs), "links"))
         labels = staged(components(links), "labels")
-        open_ = open_.select("bucket", "item")
-        if final:
-            return labels
-    raise AssertionError("unreachable")
+        open_ = still_open(open_.select("bucket", "item"))
+    pairs = across(open_.where(F.col("n") <= HOT_MEMBERS) if refine else open_)
+    if refine:
+        finer = refine(open_.where(F.col("n") > HOT_MEMBERS).select("bucket", "item"))
+        pairs = pairs.unionAll(across(still_open(finer)))
+    found = staged(verify(pairs.distinct()), "links")
+    return staged(components(links.unionAll(found)), "labels")

@@ -17,8 +17,8 @@ Defined results
   shorter than `min_chars` are copies only when equal; longer ones when within `distance` edits.
 * Of each group of linked lines the first stays: the smallest (document id, line number). Null ids come last.
 * Null and empty texts have no lines. Lines of any length are compared whole, by code points.
-* Rows that repeat an id keep their lines apart by their number in the staged table; which of equal rows
-  comes first is fixed there. Empty tables give empty results; further columns are ignored.
+* Rows that repeat an id are told apart by their text; rows that repeat id and text are the same document,
+  and so keep the same lines. Empty tables give empty results; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,59 +88,57 @@ def keys(lines: DataFrame, distance: int) -> DataFrame:
                 fits = (shorter >= count) & (begin >= 0) & (begin + own <= length)
                 bucket = F.when(fits, F.xxhash64(shorter, F.lit(k), text))
                 found.append(F.struct(bucket.alias("bucket"), F.lit(False).alias("indexed")))
-    met = lines.select("item", F.explode(F.array(*found)).alias("key")).select("item", "key.*").where("bucket is not null")
-    return met
+    return lines.select("item", F.explode(F.array(*found)).alias("key")).select("item", "key.*").where("bucket is not null")
 
 
 def within(a: list[np.ndarray], b: list[np.ndarray], distance: int) -> np.ndarray:
     """Whether the edit distance of each pair of code point arrays is at most `distance`.
 
-    Bit-parallel inside a band: bit d of a pair's word stands for diagonal d - distance, and one step moves
-    all pairs one character on. Rows of the table are the characters of `b`.
+    One machine word per pair holds the band: bit k of step i stands for character i - distance + k of `a`
+    against character i of `b`, and says whether the value below is one more (`up`) or one less (`down`). Each
+    step moves all pairs on by one character with a dozen word operations, one addition carrying matches along
+    the column. The distance is followed down the band's lowest diagonal, then along the last row.
     """
-    width = 2 * distance + 1
-    if width > 63:
+    width = 2 * distance + 2
+    if width > 64:
         raise ValueError("the band does not fit a machine word")
     n = len(a)
-    len_a, len_b = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
+    # A common prefix changes no distance and keeps the band's start inside both texts.
+    pad = distance + 1
+    len_a, len_b = (np.array([len(x) for x in texts], np.int64) + pad for texts in (a, b))
     near = np.abs(len_a - len_b) <= distance
-    rows = int(len_b.max()) if n else 0
-    # Both texts in rectangles; a is padded on both sides so that the band may leave it.
-    wide = np.full((n, rows + 2 * width + 1), -1, np.int32)
-    tall = np.full((n, rows), -2, np.int32)
+    steps = int(len_b.max()) if n else 0
+    wide = np.full((n, max(steps, int(len_a.max()) if n else 0) + 2 * width), -1, np.int32)
+    tall = np.full((n, steps), -2, np.int32)
+    wide[:, distance : distance + pad], tall[:, :pad] = -3, -3
     for i in range(n):
-        m = min(len(a[i]), rows + width)
-        wide[i, distance : distance + m] = a[i][:m]
-        tall[i, : len(b[i])] = b[i]
-    # Cell values along a band row differ by at most one to the right and down the diagonals, so it
-    # is enough to carry the diagonals' values as small numbers: one byte per diagonal.
-    far = np.uint8(distance + 1)
-    cell = np.full((n, width), far, np.uint8)
-    for d in range(width):
-        if 0 <= d - distance:
-            cell[:, d] = d - distance  # row 0: distance of the empty prefix to a[:j]
-    done = np.full(n, far, np.uint8)
-    end = np.clip(len_a - len_b + distance, 0, width - 1)
-    zero = len_b == 0
-    done[zero] = cell[zero, end[zero]]
-    for i in range(rows):
-        equal = wide[:, i : i + width] == tall[:, i : i + 1]
-        step = cell + np.where(equal, np.uint8(0), np.uint8(1))  # substitute or match
-        step[:, :-1] = np.minimum(step[:, :-1], cell[:, 1:] + np.uint8(1))  # b has one more
-        left_edge = i + 1 - distance  # column of the band's first cell
-        for d in range(width):
-            column = left_edge + d
-            if column < 0:
-                step[:, d] = far
-            elif column == 0:
-                step[:, d] = min(i + 1, int(far))
-            elif d:
-                step[:, d] = np.minimum(step[:, d], step[:, d - 1] + np.uint8(1))
-        cell = np.minimum(step, far)
-        last = len_b == i + 1
-        if last.any():
-            done[last] = cell[last, end[last]]
-    return near & (done <= distance)
+        wide[i, distance + pad : distance + len_a[i]] = a[i]
+        tall[i, pad : len_b[i]] = b[i]
+    one = np.uint64(1)
+    full = np.uint64(2**width - 1)
+    lowest = np.uint64(2 * distance)  # the bit of the band's lowest diagonal
+    up = np.full(n, (2**width - 1) ^ (2**distance - 1), np.uint64)
+    down = np.zeros(n, np.uint64)
+    value = np.full(n, distance, np.int64)
+    turn = len_a - distance  # from this step on the last row is followed
+    for i in range(steps):
+        same = np.zeros(n, np.uint64)
+        for k in range(width):
+            same |= (wide[:, i + k] == tall[:, i]).astype(np.uint64) << np.uint64(k)
+        diagonal = ((((same & up) + up) ^ up) | same | down) & full
+        right = (down | ~(diagonal | up)) & full
+        left = diagonal & up
+        running = i < len_b
+        down_band = running & (i < turn)
+        value += down_band & ((diagonal >> lowest) & one == 0)
+        along = running & (i >= turn)
+        if along.any():
+            bit = np.clip(2 * distance - 1 - (i - turn), 0, 63).astype(np.uint64)
+            value += np.where(along, ((right >> bit) & one).astype(np.int64) - ((left >> bit) & one).astype(np.int64), 0)
+        shifted = diagonal >> one
+        up = (left | ~(shifted | right)) & full
+        down = shifted & right
+    return near & (value <= distance)
 
 
 def _verify(distance: int):
@@ -203,7 +201,7 @@ def line_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", distan
             texts.select(F.col("item").alias("b"), F.col("line").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInArrow(_verify(distance), "a bigint, b bigint")
 
-    labels = linked(met.select("bucket", "item").distinct() if False else met.select("bucket", "item"), verify)
+    labels = linked(met.select("bucket", "item"), verify)
     marked = distinct.select("h1", "h2", "n", "item", "place").join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
     marked = staged(marked, "marked")
     first = marked.groupBy("label").agg(F.min("place").alias("first"))
