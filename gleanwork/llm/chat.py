@@ -37,10 +37,6 @@ ROLES = ("system", "user", "assistant", "tool")
 # JSON schema type names and the Python types of parsed JSON.
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
-ITEM = ("struct<turn:bigint,kind:string,role:string,text:string,call_id:string,name:string,arguments:string,"
-        "after:array<string>,call_turn:bigint,n_results:bigint,nth:bigint>")
-
-
 def check_arguments(arguments: str | None, schema: Mapping | None) -> tuple[object, str | None]:
     """(parsed arguments, what is wrong with them)."""
     try:

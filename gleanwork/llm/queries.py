@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import exact_dedup, minhash, mixing, pieces, quality_rules, token_files, url_filter
+from gleanwork.llm import (
+    chat, exact_dedup, line_dedup, minhash, mixing, pieces, quality_classifier, quality_rules, token_files, url_filter,
+)
 from gleanwork.session import ensure_settings, scratch_dir
 
 
@@ -25,6 +27,33 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_and_sample(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_ids=False)
 
 
+CALL_SCHEMAS = {"answer": {
+    "properties": {"question": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}},
+    "required": ["question", "turn"],
+}}
+
+
+def call_items(conversations: DataFrame) -> DataFrame:
+    """Conversations as tool use: a user's turn calls `answer`, the assistant's next turn is the result."""
+    turn, conv = F.col("turn"), F.col("conv_id").cast("string")
+    user, assistant = F.col("role") == "user", F.col("role") == "assistant"
+    call_id = F.when(user, F.concat_ws("-", conv, turn.cast("string"))).when(assistant, F.concat_ws("-", conv, (turn - 1).cast("string")))
+    return conversations.select(
+        F.col("conv_id").alias("conv"), "turn",
+        F.when(user, "call").when(assistant, "result").otherwise("message").alias("kind"), "role", "text", call_id.alias("call_id"),
+        F.when(user, "answer").alias("name"),
+        F.when(user, F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("question"), turn.alias("turn")))).alias("arguments"),
+        F.when(user & (turn >= 2), F.array(F.concat_ws("-", conv, (turn - 2).cast("string")))).alias("after"),
+    )
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = chat.format_chats(call_items(_table(spark, sf_dir, "conversations")), CALL_SCHEMAS)
+    return made.select(
+        F.col("conv").alias("conv_id"), "chat",
+        F.array_sort(F.map_entries("faults")).cast("array<struct<fault:string,n:bigint>>").alias("faults"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.filter_urls(pages, url_filter.is_spam_host(F.col("host")))
@@ -38,6 +67,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "n_removed_lines", "removed_chars")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents carry no address: their source stands for the host, their language for the section."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_classifier.classify(docs, labels, F.col("source"), F.col("lang"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -60,15 +95,25 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    counts = line_dedup.summarise(line_dedup.dedup_lines(docs))
+    zero = {"n_lines": 0, "n_dropped": 0, "dropped_chars": 0}
+    return docs.select("doc_id").join(counts, "doc_id", "left").fillna(zero)
+
+
 QUERIES = {
     "pipeline": pipeline,
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_near_dedup": op7_near_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op9_token_files": op9_token_files,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
