@@ -19,7 +19,7 @@ PARAM_SCHEMES = (
 # Scheme, authority with its slashes, and path of a URL without query and fragment.
 _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/]*)?(.*)$"
 _TRACKING_PAIR = rf"(?i)^(?:{TRACKING_PREFIX}[^=]*|{'|'.join(TRACKING_KEYS)})(?:=|$)"
-_PARAMS = r"(?s)^((?:.*/)?[^/;]*);(.*)$"
+_PARAMS = r"(?s)^((?:.*/)?[^/;]*);([^/]*)$"
 # The plain-ASCII run in front of the wide class only makes the common case fast.
 VALID_URL = rf"^[hH][tT][tT][pP][sS]?://[^{SPACE_CLASS}/$.?#][^\n][!-~]*+[^{SPACE_CLASS}]*+\z"
 

@@ -35,7 +35,7 @@ def canonicalize_ref(records: DataFrame, mappings: DataFrame, name: str) -> Data
     counts, if there is such a column.
     """
     order = F.col("id") if "id" in mappings.columns else F.col("canonical_name")
-    known = mappings.groupBy(F.col("raw_name").alias("_raw")).agg(
+    known = mappings.groupBy(py_strip(F.col("raw_name")).alias("_raw")).agg(
         F.max_by("canonical_name", order).alias("_canonical")
     )
     joined = lookup_join(records.withColumn("_raw", py_strip(F.col(name))), known, "_raw")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions.dates import format_iso_utc, fresh_at, parse_timestamp
 from gleanwork.functions.repos import github_url_clean
-from gleanwork.functions.text import py_strip, strip_title_prefix, truthy
+from gleanwork.functions.text import SPACE_CLASS, py_strip, strip_title_prefix, truthy
 from gleanwork.operators.html import html_facts
 
 SCHEMA_VERSION = "1.0"
@@ -21,7 +21,7 @@ SCHEMA_VERSION = "1.0"
 # The names of the sources, and the defaults for records without a value.
 PAPER_DATE_METAS = ("citation_date", "citation_online_date", "citation_publication_date")
 NEWS_DATE_METAS = ("article:published_time", "og:article:published_time", "pubdate")
-SUBMITTED_ON = r"(?i)Submitted on\s+([0-9]{1,2}\s+[A-Za-z]+\s+[0-9]{4})"
+SUBMITTED_ON = rf"(?i)Submitted on[{SPACE_CLASS}]+([0-9]{{1,2}}[{SPACE_CLASS}]+[A-Za-z]+[{SPACE_CLASS}]+[0-9]{{4}})"
 JOB_TYPE = "JobPosting"
 NO_NEWS_TITLE = "Untitled News"
 NO_COMPANY = "Unknown Company"

@@ -22,24 +22,24 @@ def _error_text(last: Column, max_retries: int) -> Column:
 
 
 def fetch_outcome(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """One row per URL: the first attempt that settles it, else the last one.
+    """One row per URL: the first attempt that settles it, else the last one that was due.
 
-    429, 5xx and network errors are retried until attempt `max_retries` (attempts count from 0);
-    every other status settles the URL at once. `retryable` marks URLs whose log ends while a retry
-    is still due.
+    429, 5xx and network errors settle nothing, every other status settles the URL at once. The whole
+    log can settle a URL, attempts beyond `max_retries` (counted from 0) too; `retryable` marks URLs
+    whose log ends unsettled before that attempt.
     """
-    tries = attempts.where(F.col("attempt") <= max_retries)
     status = F.col("status")
     again = status.isNull() | (status == 429) | status.between(500, 599)
-    settles = ~again | (F.col("attempt") >= max_retries)
     row = F.struct("attempt", "status", "content", "headers", "exception", "elapsed_seconds")
     # An attempt that settles nothing has no content worth carrying.
     no_content = F.lit(None).cast("string").alias("content")
-    folded = tries.groupBy("url").agg(
-        F.min_by(row, F.when(settles, F.col("attempt"))).alias("settled"),
-        F.max_by(F.struct("attempt", "status", no_content, "headers", "exception", "elapsed_seconds"), "attempt").alias("latest"),
+    unsettled = F.struct("attempt", "status", no_content, "headers", "exception", "elapsed_seconds")
+    folded = attempts.groupBy("url").agg(
+        F.min_by(row, F.when(~again, F.col("attempt"))).alias("settled"),
+        F.max_by(unsettled, F.when(F.col("attempt") <= max_retries, F.col("attempt"))).alias("latest"),
+        F.max_by(unsettled, "attempt").alias("beyond"),
     )
-    last = F.coalesce("settled", "latest")
+    last = F.coalesce("settled", "latest", "beyond")
     return folded.select(
         "url",
         last["status"].alias("status_code"),
@@ -48,5 +48,5 @@ def fetch_outcome(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
         _error_text(last, max_retries).alias("error"),
         last["elapsed_seconds"].alias("elapsed_seconds"),
         (last["attempt"] + 1).alias("attempts"),
-        F.col("settled").isNull().alias("retryable"),
+        (F.col("settled").isNull() & (last["attempt"] < max_retries)).alias("retryable"),
     )

@@ -28,7 +28,10 @@ RULES = {"research_papers": upsert.PAPERS, "jobs": upsert.JOBS, "news": upsert.N
 
 
 def _batch_key(batch: str) -> tuple[str, int]:
-    """`source#7` is step 7 of a source whose steps come in order; a bare name is its only step."""
+    """`source#7` is step 7 of a source whose steps come in order; a bare name is its only step.
+
+    The last step again is skipped as a replay; an earlier one is refused, never dropped in silence.
+    """
     source, mark, step = batch.rpartition("#")
     return (source, int(step)) if mark else (batch, 0)
 
@@ -37,7 +40,10 @@ def _applied(manifest: dict, batch: str | None) -> bool:
     if not batch:
         return False
     source, step = _batch_key(batch)
-    return manifest["batches"].get(source, -1) >= step
+    latest = manifest["batches"].get(source, -1)
+    if step < latest:
+        raise ValueError(f"batch {batch} comes after step {latest} of its source: nothing was stored")
+    return step == latest
 
 
 class TableStore:

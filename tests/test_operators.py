@@ -304,3 +304,24 @@ def test_extract_with_asks_in_order(spark):
     assert got["0"] == ('{"by": "first", "system": "s"}', "one", None)
     assert got["1"] == ('{"by": "second"}', "two", None)
     assert got["11"][2].endswith("LLM provider 'one' failed: busy; LLM provider 'two' failed: Failed to parse JSON response from two: Expecting value: line 1 column 1 (char 0)")
+
+
+def test_late_answers_and_blank_names_count(spark):
+    from gleanwork.operators.enrich import canonicalize_ref
+    from gleanwork.operators.fetch import fetch_outcome
+
+    ddl = "url string, attempt int, status int, content string, headers string, exception string, elapsed_seconds double"
+    log = [("u", i, 503, None, None, None, 0.1) for i in range(5)] + [("u", 5, 200, "page", None, None, 0.1)]
+    row = fetch_outcome(spark.createDataFrame(log, ddl)).first()
+    assert (row.status_code, row.content, row.attempts, row.error, row.retryable) == (200, "page", 6, None, False)
+    mappings = spark.createDataFrame([(" ", "Unknown"), (" Acme ", "Acme Inc")], "raw_name string, canonical_name string")
+    names = spark.createDataFrame([("  ",), ("Acme",), (None,)], "name string")
+    assert [r.name for r in canonicalize_ref(names, mappings, "name").collect() if r.name].count("Unknown") == 1
+    assert "Acme Inc" in [r.name for r in canonicalize_ref(names, mappings, "name").collect()]
+
+
+def test_params_of_an_earlier_segment_are_path(column):
+    from gleanwork.functions.urls import normalize_url
+
+    assert column(["https://a.b/p;x/?ref=1", "https://a.b/p/;x", "https://a.b/q;y"], normalize_url) == [
+        "https://a.b/p;x", "https://a.b/p;x", "https://a.b/q;y"]
