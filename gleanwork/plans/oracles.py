@@ -220,13 +220,13 @@ WITH l AS (SELECT 'https://e.example/' || (user_id % 400) AS url, event_id, valu
     CASE event_id % 7 WHEN 0 THEN 429 WHEN 1 THEN 503 WHEN 3 THEN 500 WHEN 4 THEN 413 WHEN 5 THEN 404 WHEN 6 THEN 200 END AS status FROM events),
 n AS (SELECT *, (event_id - min(event_id) OVER (PARTITION BY url)) // 1000 AS attempt FROM l),
 a AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY url, attempt ORDER BY event_id) = 1),
-g AS (SELECT *, status IS NOT NULL AND status NOT IN (429, 500, 503) OR attempt >= 4 AS settles FROM a WHERE attempt <= 4),
-b AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY url ORDER BY NOT settles, CASE WHEN settles THEN attempt ELSE -attempt END) = 1)
+g AS (SELECT *, status IS NOT NULL AND status NOT IN (429, 500, 503) AS settles FROM a),
+b AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY url ORDER BY NOT settles, NOT settles AND attempt > 4, CASE WHEN settles THEN attempt ELSE -attempt END) = 1)
 SELECT url, status::INTEGER AS status_code, CASE status WHEN 200 THEN 'body ' || event_id END AS content,
   CASE WHEN status IS NULL THEN 'TimeoutError: ' || event_id WHEN status = 200 THEN NULL
     WHEN status = 429 THEN 'HTTP 429: Too Many Requests (exceeded 4 retries)' WHEN status = 413 THEN 'HTTP 413: Payload Too Large'
     WHEN status >= 500 THEN 'HTTP ' || status || ' server error' ELSE 'HTTP status ' || status END AS error,
-  elapsed_seconds, (attempt + 1)::INTEGER AS attempts, NOT settles AS retryable FROM b""",
+  elapsed_seconds, (attempt + 1)::INTEGER AS attempts, NOT settles AND attempt < 4 AS retryable FROM b""",
     "parse_date_formats": f"""
 WITH o AS (SELECT o_orderkey, o_orderdate AS day, o_orderdate + to_seconds((o_orderkey % 86400)::BIGINT) AS moment FROM orders)
 SELECT o_orderkey, {_PRINTED} AS published_date FROM o""",
