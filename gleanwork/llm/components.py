@@ -7,7 +7,7 @@ by finer keys. A bucket of n members, all alike, costs n comparisons.
 
 `components` contracts stars (large-star and small-star in turn): every round is two aggregations with
 map-side combining and two joins, a hot vertex is an ordinary row of each, and rounds grow with the logarithm
-of the longest chain. All intermediate tables lie in the shared folder; no link reaches the driver.
+of the longest chain. Links found later are laid over the labels known so far (`merged`). All intermediate tables lie in the shared folder; no link reaches the driver.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ LEADER_ROUNDS = 2
 HOT_MEMBERS = 64
 
 
-def _summary(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.sum(F.col("b") % 1000003).alias("s")).first()
-    return tuple(row)
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every item has one edge at most and leads to an item without one: then labels are found."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionAll(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    return ends.groupBy("v").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out + into > 1 and out > 0").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,23 +38,29 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = staged(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = _summary(edges)
-    while before[0]:
+    while not _is_forest(edges):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = staged(large, "large")
+        # Edges that come out twice go with the next `distinct`; there are no more of them than before.
+        large = staged(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")), "large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = staged(small.unionAll(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        after = _summary(edges)
-        if after == before:
-            break
-        before = after
     roots = edges.select(F.col("b").alias("item")).distinct()
     return edges.select(F.col("a").alias("item"), F.col("b").alias("label")).unionAll(roots.select("item", F.col("item").alias("label")))
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` (item, label) after further `links` (a, b): only the graph of the labels is looked at."""
+    of = labels.select(F.col("item").alias("of"), "label")
+    ends = links.join(of, links["a"] == of["of"], "left").select(F.coalesce("label", "a").alias("a"), "b")
+    ends = ends.join(of, ends["b"] == of["of"], "left").select("a", F.coalesce("label", "b").alias("b"))
+    moved = staged(components(ends), "moved")
+    to = moved.select(F.col("item").alias("label"), F.col("label").alias("to"))
+    old = labels.join(to, "label", "left").select("item", F.coalesce("to", "label").alias("label"))
+    return old.unionAll(moved.join(labels, "item", "left_anti").select("item", "label"))
+
+
 def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None,
            prepare: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """(item, label) of the components that `verify` finds inside buckets.
@@ -87,18 +95,23 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine:
 
     open_ = still_open(shared.where("n > 2").select("bucket", "item"))
     for round_ in range(LEADER_ROUNDS):
-        if open_.isEmpty():
-            return labels
+        hot = open_.where(F.col("n") > HOT_MEMBERS)
+        if hot.isEmpty():
+            break
         # The leader of this round is any member, drawn by hash.
-        lead = open_.groupBy("bucket").agg(F.min_by(F.struct("item", "label"), F.xxhash64(F.lit(round_), "item")).alias("lead"))
-        met = open_.where(F.col("n") > HOT_MEMBERS).join(lead, "bucket").where("label <> lead.label")
+        lead = hot.groupBy("bucket").agg(F.min_by(F.struct("item", "label"), F.xxhash64(F.lit(round_), "item")).alias("lead"))
+        met = hot.join(lead, "bucket").where("label <> lead.label")
         pairs = met.select(F.least("item", "lead.item").alias("a"), F.greatest("item", "lead.item").alias("b")).distinct()
-        links = links.unionAll(staged(verify(pairs), "links"))
-        labels = staged(components(links), "labels")
+        links = staged(verify(pairs), "links")
+        if links.isEmpty():  # a leader without a single copy: more of them would not pay
+            break
+        labels = staged(merged(labels, links), "labels")
         open_ = still_open(open_.select("bucket", "item"))
+    if open_.isEmpty():
+        return labels
     pairs = across(open_.where(F.col("n") <= HOT_MEMBERS) if refine else open_)
-    if refine:
+    if refine and not open_.where(F.col("n") > HOT_MEMBERS).isEmpty():
         finer = refine(open_.where(F.col("n") > HOT_MEMBERS).select("bucket", "item"))
         pairs = pairs.unionAll(across(still_open(finer)))
-    found = staged(verify(pairs.distinct()), "links")
-    return staged(components(links.unionAll(found)), "labels")
+    links = staged(verify(pairs.distinct()), "links")
+    return labels if links.isEmpty() else staged(merged(labels, links), "labels")
