@@ -274,12 +274,15 @@ def review_queue(
     canonicals: DataFrame,
     aliases: DataFrame | None = None,
     threshold: float = THRESHOLD,
-    floor: float = 0.5,
+    floor: float = 0.7,
 ) -> DataFrame:
-    """Unresolved normal forms with their best candidate scoring in [floor, threshold).
+    """Every unresolved normal form, with its best candidate if one scores at least `floor`, else nulls.
 
-    The search runs at `floor`, so a lower floor costs more candidates.
+    The search runs at `floor`, so a lower floor costs more candidates; at 2/3 and below nearly all pairs
+    would meet, which is refused.
     """
+    if floor * 3 <= 2:
+        raise ValueError("the floor must be above 2/3")
     if aliases is None:
         aliases = default_aliases(names.sparkSession)
     raw = py_strip(F.col("raw_name"))
@@ -287,7 +290,9 @@ def review_queue(
     forms = canonical_forms(canonicals)
     known = normalized_join(alias_join(norms, aliases), forms)
     unresolved = known.where(F.col("alias_name").isNull() & F.col("equal_name").isNull())
-    return fuzzy_join(unresolved, forms, floor).where(F.col("score") < threshold)
+    unresolved = staged(unresolved.select("norm"), "unresolved")
+    best = fuzzy_join(unresolved, forms, floor)
+    return unresolved.join(best, "norm", "left").where(F.coalesce(F.col("score") < threshold, F.lit(True)))
 
 
 def resolution_summary(resolved: DataFrame) -> DataFrame:

@@ -17,9 +17,9 @@ piece AS (SELECT id, u, lower(regexp_extract(base, '^([A-Za-z]+)://', 1)) AS sch
 canon AS (SELECT id, u, scheme || '://' || host || rtrim(path, '/')
     || CASE WHEN len(pairs) > 0 THEN '?' || array_to_string(pairs, '&') ELSE '' END AS normalized_url FROM piece)
 """
-_SHORT = """src AS (SELECT page_id AS id, regexp_extract(url, '^([^/]+//[^/]+/[a-z]+)', 1)
-    || '/?utm_campaign=' || page_id AS u, html FROM pages),""" + _CANON
-_PLACED = f"""WITH {_SHORT},
+_TWINS = """src AS (SELECT 2 * page_id AS id, url AS u, html FROM pages UNION ALL
+    SELECT 2 * page_id + 1, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'utm_campaign=' || page_id, html FROM pages),""" + _CANON
+_PLACED = f"""WITH {_TWINS},
 placed AS (SELECT id, u, normalized_url, row_number() OVER (PARTITION BY normalized_url ORDER BY id) AS place FROM canon)"""
 # A cut-off `&amp` without its semicolon counts as well.
 _UNESCAPE = "regexp_replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"
@@ -116,7 +116,7 @@ s AS (SELECT source_url, min(seq) + 1 AS id, arg_min(side, seq) AS side, arg_min
 s2 AS (SELECT s.*, coalesce(r.title, 'stored') AS title, coalesce(r.is_fresh, false) AS is_fresh FROM s JOIN r ON r.seq = s.m),
 d AS (SELECT source_url, min(seq) AS seq, arg_min(side, seq) AS side, arg_min(published_date, seq) AS published_date,
     arg_max(title, seq) FILTER (WHERE title IS NOT NULL) AS title, arg_max(is_fresh, seq) FILTER (WHERE is_fresh IS NOT NULL) AS is_fresh
-  FROM r WHERE seq % 10 > 1 GROUP BY source_url)
+  FROM r WHERE seq % 10 <> 1 GROUP BY source_url)
 SELECT s2.id, CASE WHEN s2.id IS NULL THEN d.seq END AS seq, coalesce(s2.source_url, d.source_url) AS source_url,
   CASE WHEN s2.id IS NULL THEN d.side ELSE s2.side END AS {side}, coalesce(d.title, s2.title, {fallback}) AS title,
   CASE WHEN s2.id IS NULL THEN d.published_date ELSE s2.published_date END AS published_date,
@@ -212,14 +212,13 @@ SELECT c_custkey, 'https://shop' || (c_custkey % 50) || '.example.com:8443/' ||
     "dedup_urls": f"""{_PLACED} SELECT p.id AS seq, normalized_url, CASE WHEN place = 1 THEN length(html)::INTEGER END AS n_chars,
   CASE WHEN place > 1 THEN 'Duplicate URL' END AS error FROM placed p JOIN src ON src.id = p.id""",
     "dedup_urls_drop": f"{_PLACED} SELECT id AS seq, normalized_url FROM placed WHERE place = 1",
-    "skip_seen": f"""WITH {_SHORT} SELECT id AS seq, normalized_url FROM canon
+    "skip_seen": f"""WITH {_TWINS} SELECT id AS seq, normalized_url FROM canon
   WHERE normalized_url NOT IN (SELECT normalized_url FROM canon WHERE id % 10 = 0)""",
     "drop_failed": f"{_PLACED} SELECT id AS seq, u AS url FROM placed WHERE place = 1",
     "fetch_outcome": """
 WITH l AS (SELECT 'https://e.example/' || (user_id % 400) AS url, event_id, value AS elapsed_seconds,
     CASE event_id % 7 WHEN 0 THEN 429 WHEN 1 THEN 503 WHEN 3 THEN 500 WHEN 4 THEN 413 WHEN 5 THEN 404 WHEN 6 THEN 200 END AS status FROM events),
-n AS (SELECT *, (event_id - min(event_id) OVER (PARTITION BY url)) // 1000 AS attempt FROM l),
-a AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY url, attempt ORDER BY event_id) = 1),
+a AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY event_id) - 1 AS attempt FROM l),
 g AS (SELECT *, status IS NOT NULL AND status NOT IN (429, 500, 503) AS settles FROM a),
 b AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY url ORDER BY NOT settles, NOT settles AND attempt > 4, CASE WHEN settles THEN attempt ELSE -attempt END) = 1)
 SELECT url, status::INTEGER AS status_code, CASE status WHEN 200 THEN 'body ' || event_id END AS content,
@@ -274,7 +273,7 @@ SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 OR p_partkey % 3 = 2 THEN '' WHEN
   ELSE p_name END AS authors FROM part""",
     "normalize_entity_name": "SELECT p_partkey, p_name AS norm FROM part",
     "resolve_entities": _RESOLVED,
-    "resolve_fuzzy": f"SELECT p_partkey, canonical_name AS fuzzy_name, confidence FROM ({_RESOLVED}) WHERE resolution_method = 'fuzzy'",
+    "resolve_fuzzy": f"SELECT p_partkey, canonical_name AS fuzzy_name, confidence FROM ({_RESOLVED}) WHERE resolution_method IN ('fuzzy', 'normalized')",
     "resolve_alias": """
 SELECT 'nick ' || n_nationkey AS norm, n_name AS alias_name FROM nation
 WHERE n_nationkey IN (SELECT p_partkey % 25 FROM part WHERE p_partkey % 6 = 0)""",
@@ -282,9 +281,10 @@ WHERE n_nationkey IN (SELECT p_partkey % 25 FROM part WHERE p_partkey % 6 = 0)""
     "resolution_summary": f"""
 SELECT resolution_method, count(*) AS n_names, avg(confidence) AS avg_confidence FROM ({_RESOLVED}) GROUP BY 1""",
     "review_queue": f"""
-WITH s AS (SELECT DISTINCT p_name, {_INITCAP} AS shown, length(p_name) AS n FROM part WHERE p_partkey % 3 = 0)
+WITH s AS (SELECT DISTINCT p_name, {_INITCAP} AS shown, length(p_name) AS n FROM part WHERE p_partkey % 3 <> 1)
 SELECT p_name || 'xqzvj' AS norm, shown AS fuzzy_name, round(2 * n / (2.0::DOUBLE * n + 5), 2) AS score FROM s
-WHERE 2 * n / (2.0 * n + 5) >= 0.7 AND 2 * n / (2.0 * n + 5) < 0.85""",
+WHERE 2 * n / (2.0 * n + 5) >= 0.7 AND 2 * n / (2.0 * n + 5) < 0.85
+UNION ALL SELECT DISTINCT 'zzqx' || (p_partkey % 7), NULL, NULL FROM part WHERE p_partkey % 3 = 1""",
     "github_owner_repo": """
 SELECT c_custkey, CASE WHEN c_custkey % 6 < 3 THEN 'org' || (c_custkey % 50) END AS owner,
   CASE WHEN c_custkey % 6 < 3 THEN 'tool' || (c_custkey % 20) END AS repo FROM customer""",
@@ -356,13 +356,13 @@ SELECT row_number() OVER (ORDER BY k % 3 = 0, k) AS id, paper_url, title, github
   published_date FROM ({_PAPER_RECORD})""",
     "lookup_by_url": """
 WITH r AS (SELECT o_orderkey AS seq, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 't' || o_orderkey END AS title, o_orderpriority
-  FROM orders WHERE (o_orderkey % 3 = 0 OR o_custkey = 2) AND o_orderkey % 10 > 1)
+  FROM orders WHERE o_orderkey % 3 = 0 OR o_custkey = 2)
 SELECT 'https://n.example/2' AS source_url, arg_max(title, seq) FILTER (WHERE title IS NOT NULL) AS title, arg_min(o_orderpriority, seq) AS content_summary FROM r""",
     "run_summary": """
 SELECT t AS table_name, n AS n_rows, CASE WHEN n > 0 THEN '2024-02-01' END AS last_day FROM (
   SELECT unnest(['sources', 'research_papers', 'startups', 'news', 'entity_mappings', 'crawl_jobs']) AS t, 0::BIGINT AS n
   UNION ALL SELECT 'products', count(*) FROM part
-  UNION ALL SELECT 'jobs', count(DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE o_custkey END) FROM orders WHERE o_orderkey % 10 > 1)""",
+  UNION ALL SELECT 'jobs', count(DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE o_custkey END) FROM orders)""",
     "read_records": """
 SELECT CASE WHEN p_partkey % 20 = 0 THEN 'bad' ELSE 'good' END AS kind, count(*) AS n_rows FROM part GROUP BY 1""",
     "export_research_papers": f"""SELECT c_custkey AS id, '1.0' AS "schemaVersion", 'research_papers' AS "recordType", c_name AS title,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanwork.functions import dates, names, records as record_columns, repos, text, urls
@@ -103,41 +103,41 @@ def valid_url(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", urls.valid_url(url).alias("is_valid"))
 
 
-def _shortened_pages(spark, sf_dir, *extra):
-    """Pages by site and language only, so that many share a canonical URL."""
-    site = F.regexp_extract("url", r"^([^/]+//[^/]+/[a-z]+)", 1)
-    return table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("seq"), text_of(site, "/?utm_campaign=", F.col("page_id")).alias("url"), *extra
-    )
+def _twin_pages(spark, sf_dir, *extra):
+    """Every page twice: under its own URL, and under the same with a tracking parameter."""
+    mark = F.when(F.contains("url", F.lit("?")), "&").otherwise("?")
+    forms = F.array(F.col("url"), text_of(F.col("url"), mark, "utm_campaign=", F.col("page_id")))
+    pages = table(spark, sf_dir, "pages").select("page_id", *extra, F.posexplode(forms).alias("form", "url"))
+    return pages.withColumn("seq", F.col("page_id") * 2 + F.col("form")).drop("page_id", "form")
 
 
 @query
 def dedup_urls(spark, sf_dir):
-    pages = _shortened_pages(spark, sf_dir, F.col("html").alias("content"))
+    pages = _twin_pages(spark, sf_dir, F.col("html").alias("content"))
     marked = dedup.dedup_urls(pages, "mark")
     return marked.select("seq", "normalized_url", F.length("content").alias("n_chars"), "error")
 
 
 @query
 def dedup_urls_drop(spark, sf_dir):
-    return dedup.dedup_urls(_shortened_pages(spark, sf_dir), "drop").select("seq", "normalized_url")
+    return dedup.dedup_urls(_twin_pages(spark, sf_dir), "drop").select("seq", "normalized_url")
 
 
 @query
 def skip_seen(spark, sf_dir):
-    pages = _shortened_pages(spark, sf_dir)
+    pages = _twin_pages(spark, sf_dir)
     seen = dedup.with_normalized_url(pages.where("seq % 10 = 0"))
     return dedup.skip_seen(pages, seen).select("seq", "normalized_url")
 
 
 @query
 def drop_failed(spark, sf_dir):
-    return dedup.drop_failed(dedup.dedup_urls(_shortened_pages(spark, sf_dir), "mark")).select("seq", "url")
+    return dedup.drop_failed(dedup.dedup_urls(_twin_pages(spark, sf_dir), "mark")).select("seq", "url")
 
 
 @query
 def fetch_outcome(spark, sf_dir):
-    """Attempt log from events: one URL per user and day, attempts in time order."""
+    """Attempt log from all events: one URL for each group of users, its events are the attempts."""
     events = table(spark, sf_dir, "events")
     status = every(
         "event_id", 7, F.lit(429), F.lit(503), F.lit(None).cast("int"), F.lit(500), F.lit(413), F.lit(404), F.lit(200)
@@ -151,14 +151,8 @@ def fetch_outcome(spark, sf_dir):
         F.when(status.isNull(), text_of("TimeoutError: ", F.col("event_id"))).alias("exception"),
         F.col("value").alias("elapsed_seconds"),
     )
-    counted = log.groupBy("url").agg(F.min("event_id").alias("first_id"))
-    # Consecutive ids of one URL are far apart, so the attempt number is their rank by a coarse step.
-    step = F.floor((F.col("event_id") - F.col("first_id")) / 1000).cast("int")
-    attempts = log.join(counted, "url").withColumn("attempt", step)
-    first = attempts.groupBy("url", "attempt").agg(
-        F.min_by(F.struct("status", "content", "headers", "exception", "elapsed_seconds"), "event_id").alias("a")
-    )
-    return fetch.fetch_outcome(first.select("url", "attempt", "a.*")).drop("headers")
+    place = F.row_number().over(Window.partitionBy("url").orderBy("event_id")) - 1
+    return fetch.fetch_outcome(log.withColumn("attempt", place).drop("event_id")).drop("headers")
 
 
 # -- dates ----------------------------------------------------------------------------------------
@@ -396,10 +390,8 @@ def normalize_entity_name(spark, sf_dir):
 
 
 def _part_names(spark, sf_dir):
-    """Distinct part names as canonical list, in alphabetical order."""
-    distinct = table(spark, sf_dir, "part").select(F.initcap("p_name").alias("name")).distinct()
-    # The order only has to be total: the first eight letters packed into one number.
-    return distinct.withColumn("pos", F.conv(F.hex(F.substring("name", 1, 7)), 16, 10).cast("bigint"))
+    """Distinct part names as canonical list, in the order of their first part."""
+    return table(spark, sf_dir, "part").groupBy(F.initcap("p_name").alias("name")).agg(F.min("p_partkey").cast("bigint").alias("pos"))
 
 
 def _aliases(spark, sf_dir):
@@ -431,7 +423,7 @@ def resolve_entities(spark, sf_dir):
 
 @query
 def resolve_fuzzy(spark, sf_dir):
-    lost = _raw_names(spark, sf_dir).where("p_partkey % 6 = 2").select(
+    lost = _raw_names(spark, sf_dir).select(
         "p_partkey", names.normalize_entity_name(F.col("raw_name")).alias("norm")
     )
     forms = resolve.canonical_forms(_part_names(spark, sf_dir))
@@ -460,9 +452,10 @@ def resolution_summary(spark, sf_dir):
 
 @query
 def review_queue(spark, sf_dir):
-    """Names with five letters appended score between the floor and the threshold."""
+    """Names with five letters appended score between the floor and the threshold, others have no candidate."""
     raw = text_of(F.col("p_name"), "xqzvj")
-    rows = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(raw.alias("raw_name"))
+    raw = every("p_partkey", 3, raw, text_of("zzqx", F.col("p_partkey") % 7), raw)
+    rows = table(spark, sf_dir, "part").select(raw.alias("raw_name"))
     queue = resolve.review_queue(rows, _part_names(spark, sf_dir), _aliases(spark, sf_dir), floor=0.7)
     return queue.select("norm", "fuzzy_name", F.col("score_2").alias("score"))
 
@@ -498,8 +491,8 @@ def github_url_clean(spark, sf_dir):
 
 def _repo_stats(spark, sf_dir):
     key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").where("s_suppkey % 3 <> 2").select(
-        text_of("org", key % 50).alias("owner"), text_of("tool", key % 20).alias("repo"),
+    return table(spark, sf_dir, "supplier").select(
+        text_of(F.when(key % 3 == 2, "gone").otherwise("org"), key % 50).alias("owner"), text_of("tool", key % 20).alias("repo"),
         F.when(key % 4 == 3, 404).otherwise(200).alias("status"),
         F.when(key % 4 != 3, F.floor("s_acctbal").cast("int")).alias("stargazers_count"),
     )
@@ -516,8 +509,9 @@ def canonicalize_ref(spark, sf_dir):
     """Orders named after their customer; a third of the customers have a mapping, one is very hot."""
     customer = F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey"))
     rows = table(spark, sf_dir, "orders").select("o_orderkey", text_of(" Customer ", customer).alias("entity_name"))
-    mapped = table(spark, sf_dir, "customer").where("c_custkey % 3 = 1").select(
-        F.col("c_custkey").alias("id"), text_of("Customer ", F.col("c_custkey")).alias("raw_name"),
+    mapped = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        text_of(F.when(F.col("c_custkey") % 3 == 1, "Customer ").otherwise("Former customer "), F.col("c_custkey")).alias("raw_name"),
         F.col("c_name").alias("canonical_name"),
     )
     return enrich.canonicalize_ref(rows, mapped, "entity_name")
@@ -683,12 +677,12 @@ def upsert_papers(spark, sf_dir):
                          "github_url", "github_stars", "published_date")
 
 
-def _posting_history(spark, sf_dir, kind):
-    """(snapshot, delta) of jobs or news keyed by customer, a third of the batch on one key."""
+def _postings(spark, sf_dir, kind):
+    """Jobs or news keyed by customer, a third of them on one key."""
     side = "company_name" if kind == "JOB" else "content_summary"
     key = F.col("o_orderkey")
     hot = F.when(key % 3 == 0, 2).otherwise(F.col("o_custkey"))
-    rows = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("seq"), F.lit("1.0").alias("schema_version"), F.lit(kind).alias("record_type"),
         every("o_orderkey", 5, nothing(), "", text_of("t", key)).alias("title"),
         F.col("o_orderpriority").alias(side), F.lit("feed").alias("source_name"),
@@ -696,11 +690,16 @@ def _posting_history(spark, sf_dir, kind):
         F.date_format("o_orderdate", dates.ISO_OUTPUT).alias("published_date"),
         every("o_orderkey", 7, F.lit(None).cast("boolean"), key % 2 == 0).alias("is_fresh"),
     )
+
+
+def _posting_history(spark, sf_dir, kind):
+    """(snapshot, delta): a tenth of the postings makes the stored rows, the others are the batch."""
+    rows = _postings(spark, sf_dir, kind)
     old = rows.where("seq % 10 = 1").groupBy("source_url").agg(F.min_by(F.struct(*rows.columns), "seq").alias("r"))
     snapshot = old.select((F.col("r.seq") + 1).alias("id"), "r.*").drop("seq").withColumns(
         {"title": F.coalesce("title", F.lit("stored")), "is_fresh": F.coalesce("is_fresh", F.lit(False))}
     )
-    return snapshot, rows.where("seq % 10 > 1")
+    return snapshot, rows.where("seq % 10 <> 1")
 
 
 @query
@@ -727,12 +726,6 @@ def _store(spark) -> TableStore:
     return store
 
 
-def _canonical_suppliers(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").where("s_suppkey % 2 = 0").select(
-        F.col("s_suppkey").cast("int").alias("pos"), F.upper("s_name").alias("name")
-    )
-
-
 @query
 def append_startups(spark, sf_dir):
     """Validated startups appended in two batches, the second one twice under one batch name."""
@@ -779,16 +772,14 @@ def store_papers(spark, sf_dir):
 def lookup_by_url(spark, sf_dir):
     """The stored news row of the customer with the most orders."""
     store = _store(spark)
-    _, delta = _posting_history(spark, sf_dir, "NEWS")
-    store.upsert_news(delta, BATCH_TS)
+    store.upsert_news(_postings(spark, sf_dir, "NEWS"), BATCH_TS)
     return store.lookup_by_url("https://n.example/2", "news").select("source_url", "title", "content_summary")
 
 
 @query
 def run_summary(spark, sf_dir):
     store = _store(spark)
-    _, delta = _posting_history(spark, sf_dir, "JOB")
-    store.upsert_jobs(delta, BATCH_TS)
+    store.upsert_jobs(_postings(spark, sf_dir, "JOB"), BATCH_TS)
     store.append_products(records.flatten_product(_products(spark, sf_dir), "seq"), BATCH_TS)
     return store.run_summary().select("table_name", "n_rows", F.date_format("last_collected_at", "yyyy-MM-dd").alias("last_day"))
 

@@ -175,7 +175,9 @@ def test_review_queue(spark):
     names = spark.createDataFrame([("northwind trading",), ("northwind tradxxxx",), ("nothing alike",)], "raw_name string")
     canon = spark.createDataFrame([(0, "Northwind Trading")], "pos int, name string")
     queue = resolve.review_queue(names, canon, spark.createDataFrame([], "norm string, canonical string"))
-    assert [(r.norm, r.fuzzy_name) for r in queue.collect()] == [("northwind tradxxxx", "Northwind Trading")]
+    assert {(r.norm, r.fuzzy_name) for r in queue.collect()} == {("northwind tradxxxx", "Northwind Trading"), ("nothing alike", None)}
+    with pytest.raises(ValueError, match="2/3"):
+        resolve.review_queue(names, canon, floor=0.5)
 
 
 # -- validation -----------------------------------------------------------------------------------
