@@ -8,8 +8,9 @@ shift leaves enough edits for both sides. Lines that meet in the index are verif
 distance inside a band of 2 * distance + 1 diagonals, many pairs at once.
 
 Equal lines are folded first, with map-side combining, so a line that a third of the corpus repeats is one
-row. Lines that meet under a key are compared through `components.linked`: group members with one leader
-first, other members only across components.
+row and stands for its class. Every pair of classes that meets in the index is verified, none is skipped, so
+that the links of a line can be counted. n different lines that are all copies of each other therefore cost
+n * n / 2 comparisons.
 
 Defined results
 ---------------
@@ -18,7 +19,7 @@ Defined results
 * Of each group of linked lines the first stays: the smallest (document id, line number). Null ids come last.
 * Null and empty texts have no lines. Lines of any length are compared whole, by code points.
 * Rows that repeat an id are told apart by their text; rows that repeat id and text are the same document,
-  and so keep the same lines. Empty tables give empty results; further columns are ignored.
+  and so keep the same lines. Null ids are told apart by their text as well. Empty tables give empty results; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.llm.components import linked
+from gleanwork.llm.components import components
 from gleanwork.session import staged
 
 DISTANCE = 2
@@ -171,11 +172,27 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     return cut.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
+def _links(lines: DataFrame, distance: int) -> DataFrame:
+    """(a, b), a < b, of all `lines` (item, line, length) within the distance."""
+    met = keys(lines.select("item", "line", "length"), distance)
+    # A pair within the distance meets under an index key of the shorter line; lookups need not meet each other.
+    own = met.where("indexed").select("bucket", F.col("item").alias("x"))
+    other = met.select("bucket", F.col("item").alias("y"), "indexed")
+    pairs = own.join(other, "bucket").where("x < y or x > y and not indexed")
+    pairs = staged(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
+    texts = staged(lines.select("item", "line").join(asked, "item", "left_semi"), "texts")
+    both = pairs.join(texts.select(F.col("item").alias("a"), F.col("line").alias("x")), "a").join(
+        texts.select(F.col("item").alias("b"), F.col("line").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(_verify(distance), "a bigint, b bigint")
+
+
 def line_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE,
                 min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per distinct line: h1, h2 (its fingerprint), n (times it occurs), label (its group), first.
+    """One row per distinct line: h1, h2 (its fingerprint), n (times it occurs), n_links, label (its group), first.
 
-    `first` is the struct (id is null, id, line_no) of the group's first line, so the line that stays.
+    `n_links` counts the other distinct lines within the distance, `first` is the struct (none, id, print,
+    line_no) of the group's first line, so the line that stays.
     """
     lines = _lines(docs, key, text)
     prints = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.reverse("line")).alias("h2")]
@@ -186,31 +203,21 @@ def line_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", distan
         .agg(F.count("*").alias("n"), F.min("place").alias("place"), F.first("line").alias("line"))
     )
     distinct = staged(distinct.withColumn("item", F.monotonically_increasing_id()).withColumn("length", F.length("line")), "lines")
-    long_ = distinct.where(F.col("length") >= max(min_chars, distance + 1)).select("item", "line", "length")
-    met = keys(long_, distance)
-    texts = distinct.select("item", "line")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        lengths = distinct.select("item", "length")
-        near = (
-            pairs.join(lengths.select(F.col("item").alias("a"), F.col("length").alias("la")), "a")
-            .join(lengths.select(F.col("item").alias("b"), F.col("length").alias("lb")), "b")
-            .where(F.abs(F.col("la") - F.col("lb")) <= distance)
-        )
-        both = near.join(texts.select(F.col("item").alias("a"), F.col("line").alias("x")), "a").join(
-            texts.select(F.col("item").alias("b"), F.col("line").alias("y")), "b")
-        return both.select("a", "b", "x", "y").mapInArrow(_verify(distance), "a bigint, b bigint")
-
-    labels = linked(met.select("bucket", "item"), verify)
-    marked = distinct.select("h1", "h2", "n", "item", "place").join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
-    marked = staged(marked, "marked")
+    links = staged(_links(distinct.where(F.col("length") >= max(min_chars, distance + 1)), distance), "links")
+    degrees = links.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count("*").alias("n_links"))
+    marked = distinct.select("h1", "h2", "n", "item", "place").join(components(links), "item", "left").join(degrees, "item", "left")
+    marked = staged(marked.withColumns({"label": F.coalesce("label", "item"), "n_links": F.coalesce("n_links", F.lit(0))}), "marked")
     first = marked.groupBy("label").agg(F.min("place").alias("first"))
-    return marked.join(first, "label").select("h1", "h2", "n", "label", "first")
+    return marked.join(first, "label").select("h1", "h2", "n", "n_links", "label", "first")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE,
                 min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per line with a word: `key`, line_no (from 0), label of its group, kept, line_chars."""
+    """One row per line with a word: `key`, print, line_no (from 0), its class, kept, n_links, line_chars.
+
+    The class is named by its first line (first_id, first_print, first_line), so it is the same in every run;
+    `label` numbers it within this one. `n_links` as in `line_copies`.
+    """
     copies = staged(line_copies(docs, key, text, distance, min_chars), "copies")
     lines = _lines(docs, key, text).select(
         "id", "print", "line_no", F.length("line").alias("line_chars"),
@@ -218,13 +225,32 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", distan
     # Unique on the right; a line that holds a large share of the rows is split by the adaptive join.
     own = F.struct(F.col("id").isNull().alias("none"), "id", "print", "line_no")
     return lines.join(copies, ["h1", "h2"]).select(
-        F.col("id").alias(key), "print", "line_no", "label", (own == F.col("first")).alias("kept"), "line_chars")
+        F.col("id").alias(key), "print", "line_no", "label", F.col("first.id").alias("first_id"),
+        F.col("first.print").alias("first_print"), F.col("first.line_no").alias("first_line"),
+        own.eqNullSafe(F.col("first")).alias("kept"), "n_links", "line_chars")
 
 
 def summarise(lines: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per document that has lines: `key`, n_lines, n_dropped, dropped_chars, kept_lines (their numbers' hash)."""
-    gone = ~F.col("kept")
-    return lines.groupBy(key).agg(
-        F.count("*").alias("n_lines"), F.count(F.when(gone, 1)).alias("n_dropped"),
-        F.coalesce(F.sum(F.when(gone, F.col("line_chars"))), F.lit(0)).cast("long").alias("dropped_chars"),
-    )
+    """One row per document (`key`, print) that has lines: n_lines, n_dropped, dropped_chars, n_links, lines.
+
+    `lines` lists line_no, first_id, first_print, first_line, kept, n_links and line_chars in line order. It is
+    a set, so rows that repeat id and text count once; with them it is no longer than the document itself.
+    """
+    line = F.struct("line_no", "first_id", "first_print", "first_line", "kept", "n_links", "line_chars")
+    listed = lines.groupBy(key, "print").agg(F.array_sort(F.collect_set(line)).alias("lines"))
+    zero = F.lit(0).cast("bigint")
+    gone = F.filter("lines", lambda x: ~x["kept"])
+    return listed.select(
+        key, "print", F.size("lines").cast("bigint").alias("n_lines"), F.size(gone).cast("bigint").alias("n_dropped"),
+        F.aggregate(gone, zero, lambda n, x: n + x["line_chars"]).alias("dropped_chars"),
+        F.aggregate("lines", zero, lambda n, x: n + x["n_links"]).alias("n_links"), "lines")
+
+
+def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE,
+                   min_chars: int = MIN_CHARS) -> DataFrame:
+    """One row per row of `docs`, those without lines too: `key` and the columns of `summarise` but print."""
+    found = summarise(dedup_lines(docs, key, text, distance, min_chars), key).withColumnsRenamed({key: "_id", "print": "_print"})
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("print"))
+    met = rows.join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_lines", "n_dropped", "dropped_chars", "n_links")]
+    return met.select(F.col("id").alias(key), *counts, F.coalesce("lines", F.array()).alias("lines"))

@@ -96,10 +96,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    counts = line_dedup.summarise(line_dedup.dedup_lines(docs))
-    zero = {"n_lines": 0, "n_dropped": 0, "dropped_chars": 0}
-    return docs.select("doc_id").join(counts, "doc_id", "left").fillna(zero)
+    return line_dedup.document_lines(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {

@@ -347,6 +347,39 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def test_line_dedup_query_lists_classes_verdicts_and_links(spark, tmp_path):
+    rng = random.Random(19)
+    base = [prose(rng, 8) for _ in range(5)]
+    rows = [(i, "\n".join(changed(rng, rng.choice(base), 3, "abc é") for _ in range(4)) + "\nshort\n \n") for i in range(12)]
+    rows += [(None, base[0] + "\nonly here, in a row without an id"), (None, base[1] + "\n\nshort"), (None, None), (20, ""), (21, None)]
+    rows += [(3, base[2] + "\n" + base[2] + "\nagain"), (3, "short"), (7, base[4]), (7, base[4])]  # repeated ids, the last one with its text
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    from gleanwork.llm.queries import QUERIES
+    prints = {(r.doc_id, r.text): r.p for r in docs.selectExpr("*", "xxhash64(text) p").collect()}
+
+    lines = [(i, prints[i, t], k, x) for i, t in set(rows) for k, x in enumerate((t or "").split("\n")) if WORD.search(x)]
+    lines.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1], x[2]))
+
+    def same(a, b):
+        return a == b or min(len(a), len(b)) >= 20 and edits(a, b) <= 2
+
+    roots = components_of(len(lines), [(i, j) for i in range(len(lines)) for j in range(i) if same(lines[i][3], lines[j][3])])
+    texts = {x[3] for x in lines}
+    degree = {x: sum(x != y and same(x, y) for y in texts) for x in texts}
+    listed = {}
+    for i, (key, mark, k, x) in enumerate(lines):
+        listed.setdefault((key, mark), []).append((k, *lines[roots[i]][:3], roots[i] == i, degree[x], len(x)))
+    want = []
+    for key, text in rows:
+        own = sorted(listed.get((key, prints[key, text]), []))
+        gone = [x for x in own if not x[4]]
+        want.append((key, len(own), len(gone), sum(x[6] for x in gone), sum(x[5] for x in own), own))
+    got = [(r.doc_id, r.n_lines, r.n_dropped, r.dropped_chars, r.n_links, [tuple(x) for x in r.lines]) for r in QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert any(x[4] > 1 for x in want)
+
+
 SCHEMA = {"f": {"properties": {"x": {"type": "integer"}}, "required": ["x"]}}
 ITEMS = "conv bigint, turn bigint, kind string, role string, text string, call_id string, name string, arguments string, after array<string>, n bigint"
 
