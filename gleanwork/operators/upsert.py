@@ -3,6 +3,8 @@
 A batch is first folded to one row per key, in arrival order (`seq`). The fold combines before the
 shuffle, so a key that makes up a third of the batch arrives as one row per map task. The merge
 then joins two sides that are unique per key.
+
+Rows without a key cannot be merged. `split_keyed` sets them apart; a fold that meets one fails.
 """
 
 from __future__ import annotations
@@ -47,16 +49,23 @@ def _usable(column: str, rule: MergeRule, df: DataFrame) -> Column:
     return truthy(c)
 
 
+def split_keyed(delta: DataFrame, rule: MergeRule) -> tuple[DataFrame, DataFrame]:
+    """(rows with a key, rows without one with `reasons`)."""
+    lost = delta.where(F.col(rule.key).isNull())
+    return delta.where(F.col(rule.key).isNotNull()), lost.withColumn("reasons", F.array(F.lit(f"{rule.key} is null")))
+
+
 def fold_delta(delta: DataFrame, rule: MergeRule, seq: str = "seq") -> DataFrame:
     """One row per key: `first` = its first row, `newest` = the newest usable value per changing
-    column, `first_seq` = its arrival."""
+    column, `first_seq` = its arrival. A null key fails the run: see `split_keyed`."""
     columns = [c for c in delta.columns if c not in (rule.key, seq)]
     changing = [c for c in columns if c in (*rule.filled, *rule.present)]
     newest = []
     for c in changing:
         value = _usable(c, rule, delta)
         newest.append(F.max_by(F.col(c), F.when(value.isNotNull(), F.col(seq))).alias(c))
-    folded = delta.where(F.col(rule.key).isNotNull()).groupBy(rule.key).agg(
+    key = F.coalesce(rule.key, F.raise_error(F.lit(f"{rule.key} is null: set such rows apart with split_keyed")))
+    folded = delta.groupBy(key.alias(rule.key)).agg(
         F.min(seq).alias("first_seq"), F.min_by(F.struct(*columns), seq).alias("first"), *newest
     )
     return folded.select(rule.key, "first_seq", "first", F.struct(*changing).alias("newest"))

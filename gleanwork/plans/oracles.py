@@ -404,6 +404,10 @@ WITH d AS (SELECT o_custkey, min(o_orderkey) AS seq, arg_min(o_orderpriority, o_
   FROM orders GROUP BY 1)
 SELECT row_number() OVER (ORDER BY seq) AS id, 'https://n.example/' || o_custkey AS source_url, coalesce(title, 'Untitled') AS title,
   content_summary, is_fresh FROM d""",
+    "upsert_rejected": """
+SELECT 'news#' || (o_orderkey % 2) AS batch, 'source_url is null' AS reasons, o_orderkey AS seq,
+  CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 't' || o_orderkey END AS title
+FROM orders WHERE o_orderkey % 7 = 0""",
     "site_titles": f"""
 WITH src AS (SELECT page_id AS id, url AS u, html FROM pages), {_CANON},
 f AS (SELECT min(id) AS id FROM canon GROUP BY normalized_url),

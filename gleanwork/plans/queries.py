@@ -976,6 +976,18 @@ def stream_upsert(spark, sf_dir):
     return store.read_table("news").select("id", "source_url", "title", "content_summary", "is_fresh")
 
 
+@query
+def upsert_rejected(spark, sf_dir):
+    """What an upsert of news in two batches could not store: the rows whose URL is null."""
+    store = _store(spark)
+    rows = _postings(spark, sf_dir, "NEWS").withColumn("source_url", F.when(F.col("seq") % 7 != 0, F.col("source_url")))
+    for part in (0, 1):
+        store.upsert_news(rows.where(F.col("seq") % 2 == part), BATCH_TS, batch=f"news#{part}")
+    return store.read_rejected("news").select(
+        "batch", F.array_join("reasons", ",").alias("reasons"), F.get_json_object("record", "$.seq").cast("bigint").alias("seq"),
+        F.get_json_object("record", "$.title").alias("title"))
+
+
 # -- headline -------------------------------------------------------------------------------------
 
 

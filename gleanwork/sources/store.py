@@ -91,7 +91,8 @@ class TableStore:
         return json.loads(self._read_text(f"{self.root}/{table}/versions/{number:010d}.json"))
 
     def _publish(
-        self, table: str, base: dict, folders: list[str], max_id: int, batch: str | None, changes: list[str] = ()
+        self, table: str, base: dict, folders: list[str], max_id: int, batch: str | None, changes: list[str] = (),
+        rejected: list[str] = (),
     ) -> None:
         number = base["version"] + 1
         batches = dict(base["batches"])
@@ -100,6 +101,7 @@ class TableStore:
             batches[source] = step
         body = {
             "version": number, "folders": folders, "changes": list(changes), "max_id": max_id, "batches": batches,
+            "rejected": [*base.get("rejected", []), *rejected],
         }
         self._write_new(f"{self.root}/{table}/versions/{number:010d}.json", json.dumps(body))
 
@@ -145,6 +147,12 @@ class TableStore:
             return self.empty(table)
         return self.spark.read.schema(schemas.TABLES[table]).parquet(*folders)
 
+    def read_rejected(self, table: str) -> DataFrame:
+        """(batch, reasons, record) of all rows that upserts could not store; `record` is the row as JSON."""
+        empty = self.spark.createDataFrame([], "batch string, reasons array<string>, record string")
+        folders = self.manifest(table).get("rejected", [])
+        return self.spark.read.schema(empty.schema).parquet(*folders) if folders else empty
+
     def lookup_by_url(self, url: str, table: str = "research_papers") -> DataFrame:
         """The row with this key, if any; the filter is pushed to the Parquet scan."""
         return self.read_table(table).where(F.col(schemas.UNIQUE_KEY[table]) == url).limit(1)
@@ -194,11 +202,20 @@ class TableStore:
     def upsert(
         self, table: str, delta: DataFrame, rule: upsert.MergeRule, batch_ts: datetime,
         seq: str = "seq", batch: str | None = None,
-    ) -> None:
-        """Merge a batch into the table. A batch already applied is skipped."""
+    ) -> DataFrame:
+        """Merge a batch into the table; returns its rows without a key, with `reasons`.
+
+        These are kept beside the table too, see `read_rejected`. A batch already applied is skipped.
+        """
         base = self.manifest(table)
+        delta, lost = upsert.split_keyed(delta, rule)
         if _applied(base, batch):
-            return
+            return lost
+        lost = self._stage(table, lost)
+        rejected = []
+        if not lost.isEmpty():
+            record = F.to_json(F.struct(*[c for c in lost.columns if c != "reasons"]), {"ignoreNullFields": "false"})
+            rejected.append(self._write(table, lost.select(F.lit(batch).cast("string").alias("batch"), "reasons", record.alias("record"))))
         stored = self._rows(table, base["folders"])
         folded = self._stage(table, upsert.fold_delta(delta, rule, seq))
         new = self._stage(table, upsert.inserted_rows(upsert.new_keys(stored, folded, rule), rule))
@@ -208,9 +225,10 @@ class TableStore:
 
         folders = [*base["folders"], self._write(table, self._conform(table, numbered))]
         changes = [*base["changes"], self._write(table, change)]
-        self._publish(table, base, folders, base["max_id"] + new.count(), batch, changes)
+        self._publish(table, base, folders, base["max_id"] + new.count(), batch, changes, rejected)
         if len(changes) > MAX_CHANGES:
             self.compact(table)
+        return lost
 
     def compact(self, table: str) -> None:
         """Publish the same rows as one folder without pending changes."""
@@ -218,14 +236,14 @@ class TableStore:
         folder = self._write(table, self.read_table(table))
         self._publish(table, base, [folder], base["max_id"], None)
 
-    def upsert_papers(self, delta: DataFrame, batch_ts: datetime, **kw) -> None:
-        self.upsert("research_papers", delta, upsert.PAPERS, batch_ts, **kw)
+    def upsert_papers(self, delta: DataFrame, batch_ts: datetime, **kw) -> DataFrame:
+        return self.upsert("research_papers", delta, upsert.PAPERS, batch_ts, **kw)
 
-    def upsert_jobs(self, delta: DataFrame, batch_ts: datetime, **kw) -> None:
-        self.upsert("jobs", delta, upsert.JOBS, batch_ts, **kw)
+    def upsert_jobs(self, delta: DataFrame, batch_ts: datetime, **kw) -> DataFrame:
+        return self.upsert("jobs", delta, upsert.JOBS, batch_ts, **kw)
 
-    def upsert_news(self, delta: DataFrame, batch_ts: datetime, **kw) -> None:
-        self.upsert("news", delta, upsert.NEWS, batch_ts, **kw)
+    def upsert_news(self, delta: DataFrame, batch_ts: datetime, **kw) -> DataFrame:
+        return self.upsert("news", delta, upsert.NEWS, batch_ts, **kw)
 
     def _stage(self, table: str, rows: DataFrame) -> DataFrame:
         """Rows written out and read back, so that passes over them do not repeat their making."""

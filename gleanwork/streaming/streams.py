@@ -43,7 +43,10 @@ def stream_upsert(
     seq: str = "seq",
     **trigger,
 ) -> StreamingQuery:
-    """Merge every micro-batch into a stored table; a replayed batch is recognised and skipped."""
+    """Merge every micro-batch into a stored table; a replayed batch is recognised and skipped.
+
+    Rows without a key are found in `store.read_rejected`.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         store.upsert(table, batch, rule, batch_ts(batch_id), seq=seq, batch=f"{checkpoint}#{batch_id}")

@@ -149,6 +149,24 @@ def test_run_from_pages_to_exports(spark, store, folder):
     assert {r.table_name: r.n_rows for r in summary.collect()}["entity_mappings"] == 2
 
 
+def test_rows_without_a_key_are_rejected_and_kept(spark, store, folder):
+    rows = news(spark, (1, "u1", "a", True), (2, None, "b", None), (3, None, None, False), (4, "u1", "c", None))
+    rejected = store.upsert_news(rows, T1, batch="x#1")
+    assert {(r.seq, r.title, tuple(r.reasons)) for r in rejected.collect()} == {
+        (2, "b", ("source_url is null",)), (3, None, ("source_url is null",))}
+    assert [(r.source_url, r.title) for r in store.read_table("news").collect()] == [("u1", "c")]
+    assert store.upsert_news(rows, T1, batch="x#1").count() == 2 and store.read_rejected("news").count() == 2
+    files_of(rows.withColumn("seq", F.col("seq") + 10), f"{folder}/in", "true")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+    streams.stream_upsert(stream, store, "news", upsert.NEWS, f"{folder}/ck", lambda n: T1).awaitTermination()
+    store.compact("news")
+    kept = {(r.batch, json.loads(r.record)["seq"]) for r in store.read_rejected("news").collect()}
+    assert kept == {("x#1", 2), ("x#1", 3), (f"{folder}/ck#0", 12), (f"{folder}/ck#0", 13)}
+    assert upsert.split_keyed(rows, upsert.NEWS)[0].count() == 2
+    with pytest.raises(Exception, match="source_url is null"):
+        upsert.upsert_news(store.read_table("news"), rows).collect()
+
+
 # -- streams --------------------------------------------------------------------------------------
 
 
