@@ -720,6 +720,12 @@ def assign_ids(spark, sf_dir):
     return upsert.assign_ids(rows, start=1000)
 
 
+@query
+def assign_ids_all(spark, sf_dir):
+    """Ids of every order, whatever its price."""
+    return upsert.assign_ids(table(spark, sf_dir, "orders").select((F.col("o_orderkey") * 7).alias("seq")), start=1000)
+
+
 def _store(spark) -> TableStore:
     store = TableStore(spark, scratch_dir(spark, "store"))
     store.create_tables()

@@ -37,6 +37,12 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,100000.0)]" in plan_of(spark, "assign_ids")
 
 
+def test_ids_reach_every_order(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet").count()
+    ids = sorted(r.id for r in QUERIES["assign_ids_all"](spark, SF).collect())
+    assert ids == list(range(1001, 1001 + orders))
+
+
 def test_aggregations_combine_before_the_shuffle(spark):
     plan = plan_of(spark, "upsert_papers")
     assert plan.count("partial_max_by") > 0 and plan.count("partial_min_by") > 0
