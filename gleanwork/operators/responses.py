@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.functions.records import parse_json_strict, strip_code_fence
+from gleanwork.functions.records import parse_json_strict, strict_json, strip_code_fence, unfenced
 from gleanwork.functions.text import truthy
 
 # The texts an unsuccessful request is reported with.
@@ -95,29 +94,12 @@ def _ask_one(chain: list[Provider], prompt: str, system: str | None) -> tuple[st
     misses = []
     for name, call in chain:
         try:
-            answer = _unfenced(call(prompt, system))
+            answer = unfenced(call(prompt, system))
         except Exception as problem:  # a provider may fail in any way
             misses.append(f"LLM provider '{name}' failed: {problem}")
             continue
-        try:
-            return json.dumps(json.loads(answer, parse_constant=_refuse), ensure_ascii=False), name, None
-        except ValueError as problem:
-            misses.append(f"LLM provider '{name}' failed: Failed to parse JSON response from {name}: {problem}")
+        parsed, _, wrong = strict_json(answer)
+        if wrong is None:
+            return parsed, name, None
+        misses.append(f"LLM provider '{name}' failed: Failed to parse JSON response from {name}: {wrong}")
     return None, None, ALL_FAILED + ("; ".join(misses) or NO_PROVIDER)
-
-
-FENCE = "```"
-
-
-def _unfenced(answer: str | None) -> str:
-    text = (answer or "").strip()
-    if not text.startswith(FENCE):
-        return text
-    inner = text[len(FENCE):]
-    if inner[:4].lower() == "json":
-        inner = inner[4:]
-    return inner.strip().removesuffix(FENCE).strip()
-
-
-def _refuse(constant: str) -> None:
-    raise ValueError(f"{constant} is not JSON")

@@ -341,9 +341,7 @@ SELECT s2.id, CASE WHEN s2.id IS NULL THEN d.seq END AS seq, coalesce(s2.paper_u
 FROM s2 FULL JOIN d ON s2.paper_url = d.paper_url""",
     "upsert_jobs": _posting_oracle("JOB"),
     "upsert_news": _posting_oracle("NEWS"),
-    "assign_ids": """
-SELECT 1000 + row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey * 7 AS seq FROM orders WHERE o_totalprice > 100000""",
-    "assign_ids_all": "SELECT 1000 + row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey * 7 AS seq FROM orders",
+    "assign_ids": "SELECT 1000 + row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey * 7 AS seq FROM orders",
     "append_startups": f"""
 SELECT row_number() OVER (ORDER BY s_suppkey % 2, s_suppkey) AS id, s_name AS entity_name, (s_suppkey % 5 - 1)::INTEGER AS employee_count,
   'https://s.example/' || s_suppkey AS source_url FROM supplier WHERE {_STARTUP_REASONS} = ''""",

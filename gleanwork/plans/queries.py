@@ -677,7 +677,7 @@ def upsert_papers(spark, sf_dir):
                          "github_url", "github_stars", "published_date")
 
 
-def _postings(spark, sf_dir, kind):
+def _keyed_postings(spark, sf_dir, kind):
     """Jobs or news keyed by customer, a third of them on one key."""
     side = "company_name" if kind == "JOB" else "content_summary"
     key = F.col("o_orderkey")
@@ -694,7 +694,7 @@ def _postings(spark, sf_dir, kind):
 
 def _posting_history(spark, sf_dir, kind):
     """(snapshot, delta): a tenth of the postings makes the stored rows, the others are the batch."""
-    rows = _postings(spark, sf_dir, kind)
+    rows = _keyed_postings(spark, sf_dir, kind)
     old = rows.where("seq % 10 = 1").groupBy("source_url").agg(F.min_by(F.struct(*rows.columns), "seq").alias("r"))
     snapshot = old.select((F.col("r.seq") + 1).alias("id"), "r.*").drop("seq").withColumns(
         {"title": F.coalesce("title", F.lit("stored")), "is_fresh": F.coalesce("is_fresh", F.lit(False))}
@@ -716,13 +716,6 @@ def upsert_news(spark, sf_dir):
 
 @query
 def assign_ids(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").where("o_totalprice > 100000").select((F.col("o_orderkey") * 7).alias("seq"))
-    return upsert.assign_ids(rows, start=1000)
-
-
-@query
-def assign_ids_all(spark, sf_dir):
-    """Ids of every order, whatever its price."""
     return upsert.assign_ids(table(spark, sf_dir, "orders").select((F.col("o_orderkey") * 7).alias("seq")), start=1000)
 
 
@@ -778,14 +771,14 @@ def store_papers(spark, sf_dir):
 def lookup_by_url(spark, sf_dir):
     """The stored news row of the customer with the most orders."""
     store = _store(spark)
-    store.upsert_news(_postings(spark, sf_dir, "NEWS"), BATCH_TS)
+    store.upsert_news(_keyed_postings(spark, sf_dir, "NEWS"), BATCH_TS)
     return store.lookup_by_url("https://n.example/2", "news").select("source_url", "title", "content_summary")
 
 
 @query
 def run_summary(spark, sf_dir):
     store = _store(spark)
-    store.upsert_jobs(_postings(spark, sf_dir, "JOB"), BATCH_TS)
+    store.upsert_jobs(_keyed_postings(spark, sf_dir, "JOB"), BATCH_TS)
     store.append_products(records.flatten_product(_products(spark, sf_dir), "seq"), BATCH_TS)
     return store.run_summary().select("table_name", "n_rows", F.date_format("last_collected_at", "yyyy-MM-dd").alias("last_day"))
 
@@ -986,7 +979,7 @@ def stream_upsert(spark, sf_dir):
 def upsert_rejected(spark, sf_dir):
     """What an upsert of news in two batches could not store: the rows whose URL is null."""
     store = _store(spark)
-    rows = _postings(spark, sf_dir, "NEWS").withColumn("source_url", F.when(F.col("seq") % 7 != 0, F.col("source_url")))
+    rows = _keyed_postings(spark, sf_dir, "NEWS").withColumn("source_url", F.when(F.col("seq") % 7 != 0, F.col("source_url")))
     for part in (0, 1):
         store.upsert_news(rows.where(F.col("seq") % 2 == part), BATCH_TS, batch=f"news#{part}")
     return store.read_rejected("news").select(

@@ -1,9 +1,16 @@
 """What the physical plans must and must not contain."""
 
+import ast
 import importlib
+import pkgutil
+from collections import Counter
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+import gleanwork
+from gleanwork.operators import upsert
 from gleanwork.plans.queries import QUERIES
 from gleanwork.plans.oracles import ORACLES
 
@@ -34,12 +41,15 @@ def test_scans_read_only_what_is_used(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,100000.0)]" in plan_of(spark, "assign_ids")
+    orders = spark.read.parquet(f"{SF}/orders.parquet").where("o_totalprice > 100000")
+    numbered = upsert.assign_ids(orders.select((F.col("o_orderkey") * 7).alias("seq")))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,100000.0)]" in plan
 
 
 def test_ids_reach_every_order(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet").count()
-    ids = sorted(r.id for r in QUERIES["assign_ids_all"](spark, SF).collect())
+    ids = sorted(r.id for r in QUERIES["assign_ids"](spark, SF).collect())
     assert ids == list(range(1001, 1001 + orders))
 
 
@@ -53,3 +63,12 @@ def test_entry(spark):
     entry = importlib.import_module("__spark_entry__")
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_no_module_defines_a_name_twice():
+    """A second definition silently takes the place of the first for every caller."""
+    for found in pkgutil.walk_packages(gleanwork.__path__, "gleanwork."):
+        file = Path(importlib.util.find_spec(found.name).origin)
+        tree = ast.parse(file.read_text())
+        defined = Counter(x.name for x in tree.body if isinstance(x, (ast.FunctionDef, ast.ClassDef)))
+        assert max(defined.values(), default=1) == 1, (found.name, defined.most_common(1))
