@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanwork.llm import (
-    chat, exact_dedup, line_dedup, minhash, mixing, pieces, quality_classifier, quality_rules, token_files, url_filter,
+    chat, exact_dedup, fill_in_middle, html_extract, line_dedup, minhash, mixing, periodic_runs, pieces, quality_classifier,
+    quality_rules, token_files, url_filter,
 )
 from gleanwork.session import ensure_settings, scratch_dir
 
@@ -99,6 +100,39 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.document_lines(_table(spark, sf_dir, "documents"))
 
 
+def _planted(key: str, text: str) -> Column:
+    """The text, for a tenth of the ids with its last words replaced by repetitions of earlier ones."""
+    return F.expr(f"""
+        CASE WHEN crc32(CAST({key} AS STRING)) % 10 = 0 THEN
+            transform(array(named_struct('w', regexp_extract_all({text}, r'[^\\x20\\x09-\\x0D]+', 0), 'g', crc32(CAST({key} AS STRING)) DIV 10)), x ->
+                if(size(x.w) = 0, '', transform(array(named_struct('w', x.w, 'a', x.g % size(x.w), 'p', 1 + (size(x.w) - x.g % size(x.w)) DIV (3 + x.g % 8))), y ->
+                    array_join(transform(sequence(0, size(y.w) - 1), i -> y.w[CAST(if(i >= y.a, y.a + (i - y.a) % y.p, i) AS INT)]), ' '))[0]))[0]
+        ELSE {text} END""")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _planted("doc_id", "text").alias("text"))
+    found = periodic_runs.periodic_runs(docs).withColumn("best", periodic_runs.longest(F.col("runs")))
+    shown = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(shown, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "pipeline": pipeline,
     "op1_exact_dedup": op1_exact_dedup,
@@ -111,6 +145,9 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -156,5 +193,21 @@ ORACLES = {
         reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a)
         SELECT n.doc_id, n.n AS n_shingles, r.m AS component_id, n.doc_id = r.m AS kept
         FROM n JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = n.doc_id""",
+    "op13_fill_in_middle": r"""
+        WITH u AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                   sha256('1:' || doc_id) AS h FROM documents),
+        drawn AS (
+            SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y,
+                   ('0x' || h[17:24])::BIGINT % 100 AS c, ('0x' || h[25:32])::BIGINT % 100 AS d FROM u),
+        cut AS (
+            SELECT doc_id, t, n, array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+                   array_to_string(u[greatest(x, y) + 1:], '') AS s,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+                        WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM cut""",
 }
 # Lines removed by the method, and the words taken, are tested against brute force in tests/llm.
