@@ -1,8 +1,10 @@
 """Publication dates: parsing, ISO text and the freshness window.
 
-Every parser works in UTC and takes the as-of time as an argument. Each accepted notation is
-recognised by a pattern first and rewritten to `year|month|day|hour|minute|second|offset`, so
-only one place builds timestamps and nothing can raise under ANSI mode.
+Every parser works in UTC and takes the as-of time as an argument. A text is first reduced to its *shape*: digits,
+letters and white space become one sign each. Shapes are looked up in a dictionary of the usual notations, which
+names the one format the text is read with; so nearly every date costs one translation, one lookup and one
+parse, in generated code. Unusual spellings of the accepted notations, and only they, are recognised by patterns and
+rewritten to `year|month|day|hour|minute|second|offset`. Nothing can raise under ANSI mode.
 """
 
 from __future__ import annotations
@@ -48,6 +50,7 @@ _REWRITES = (
     (MONTH_FIRST, "$3|$1|$2||||"),
     (MAIL, "$3|$2|$1|$4|$5|$6|$7"),
 )
+# The units of relative phrases, in seconds.
 _UNIT_SECONDS = (
     ("sec", 1), ("min", 60), ("hour", 3600), ("hr", 3600),
     ("day", 86400), ("week", 7 * 86400), ("month", 30 * 86400),
@@ -98,13 +101,25 @@ def _build(parts: Column) -> Column:
     return F.try_subtract(local, F.make_dt_interval(zero, zero, zero, _offset_seconds(parts[6])))
 
 
+# The years 1 to 9999, in microseconds since 1970.
+_FIRST = int(datetime(1, 1, 1, tzinfo=timezone.utc).timestamp()) * 1_000_000
+_LAST = int(datetime(9999, 12, 31, 23, 59, 59, tzinfo=timezone.utc).timestamp()) * 1_000_000 + 999_999
+
+
 def _within_calendar(ts: Column) -> Column:
     """Null outside the years 1 to 9999."""
-    return bind(ts, lambda t: F.when(F.year(t).between(1, 9999), t))
+    return bind(ts, lambda t: F.when(F.unix_micros(t).between(_FIRST, _LAST), t))
+
+
+# Words a relative phrase may name a unit with.
+_UNIT_WORDS = ("second", "sec", "minute", "min", "hour", "hr", "day", "week", "month")
 
 
 def _relative(text: Column, as_of: datetime | Column) -> Column:
-    seconds = F.coalesce(*[F.when(F.lower(F.regexp_extract(text, RELATIVE, 2)).contains(w), F.lit(n)) for w, n in _UNIT_SECONDS])
+    """`N unit ago` counted back from the as-of time; null where the text holds no such phrase."""
+    known = dict(_UNIT_SECONDS)
+    units = [F.lit(x) for w in _UNIT_WORDS for x in (w, next(n for stem, n in known.items() if w.startswith(stem)))]
+    seconds = F.try_element_at(F.create_map(*units), F.lower(F.regexp_extract(text, RELATIVE, 2)))
     amount = F.regexp_extract(text, RELATIVE, 1).try_cast("bigint")
     # Far beyond year 1 from any date, and small enough for the product to stay in range.
     limit = 400_000_000_000
@@ -119,18 +134,74 @@ def _relative(text: Column, as_of: datetime | Column) -> Column:
 
 def parse_relative_date(text: Column, as_of: datetime | Column) -> Column:
     """Timestamp of the first `N unit ago` found anywhere in the text, or null."""
-    return bind(text, lambda t: F.when(t.rlike(RELATIVE), _within_calendar(_relative(t, as_of))))
+    return _within_calendar(_relative(text, as_of))
+
+
+def _shapes() -> dict[str, str]:
+    """Shape -> format, for the usual spellings of the accepted notations."""
+    shapes = {"00000000": "yyyyMMdd"}
+    for mark in "-/":
+        for month in ("00", "0"):
+            for day in ("00", "0"):
+                shapes[f"0000{mark}{month}{mark}{day}"] = f"yyyy{mark}M{mark}d"
+    zones = {"": "", "a": "'Z'", "+00:00": "XXX", "-00:00": "XXX", "+0000": "XX", "-0000": "XX"}
+    clocks = {"00:00:00": "HH:mm:ss", "00:00": "HH:mm", "00:00:00.000": "HH:mm:ss.SSS", "00:00:00.000000": "HH:mm:ss.SSSSSS"}
+    for gap, between in (("a", "'T'"), (" ", " ")):
+        for clock, time in clocks.items():
+            for zone, offset in zones.items():
+                shapes[f"0000-00-00{gap}{clock}{zone}"] = f"yyyy-MM-dd{between}{time}{offset}"
+    for day in ("0", "00"):
+        for length in range(3, 10):
+            name, month = "a" * length, "MMM" if length == 3 else "MMMM"
+            shapes[f"{day} {name} 0000"] = f"d {month} yyyy"
+            shapes[f"{name} {day}, 0000"] = f"{month} d, yyyy"
+        for zone, offset in (("aaa", "'GMT'"), ("+0000", "XX"), ("-0000", "XX")):
+            shapes[f"{_CUT}{day} aaa 0000 00:00:00 {zone}"] = f"d MMM yyyy HH:mm:ss {offset}"
+    return shapes
+
+
+# Weekdays, and the sign that stands for one cut off from the front of a text.
+WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
+_CUT = "@"
+_DIGITS = "0123456789"
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _usual(text: Column) -> Column:
+    """The timestamp of a text in one of the usual spellings, or null."""
+    shapes = _shapes()
+    formats = list(dict.fromkeys(shapes.values()))
+    numbers = F.create_map(*[F.lit(x) for shape, form in shapes.items() for x in (shape, formats.index(form))])
+
+    def read(place: Column, body: Column) -> Column:
+        # Each format is a constant, so its reader is made once.
+        number = F.try_element_at(numbers, F.concat(place, F.translate(body, _DIGITS + _LETTERS + _LETTERS.upper(), "0" * 10 + "a" * 52)))
+
+        def by_number(n: Column) -> Column:
+            chosen = F.when(n == 0, F.try_to_timestamp(body, F.lit(formats[0])))
+            for i, form in enumerate(formats[1:], 1):
+                chosen = chosen.when(n == i, F.try_to_timestamp(body, F.lit(form)))
+            return F.when(n.isNotNull(), chosen)
+
+        return bind(number, by_number)
+
+    # A weekday is not checked against its date, so it is cut off before the rest is read.
+    cut = (F.substring(text, 4, 2) == ", ") & F.lower(F.left(text, F.lit(3))).isin(*WEEKDAYS)
+    return F.when(cut, bind(F.substr(text, F.lit(6)), lambda body: read(F.lit(_CUT), body))).otherwise(read(F.lit(""), text))
+
+
+def _unusual(text: Column, as_of: datetime | Column) -> Column:
+    """Relative phrases, and the notations in any accepted spelling."""
+    notation = F.coalesce(*[F.when(text.rlike(p), F.regexp_replace(text, p, to)) for p, to in _REWRITES])
+    absolute = bind(F.split(notation, r"\|"), _build)
+    known = F.when(text.rlike(RELATIVE), _relative(text, as_of)).otherwise(absolute)
+    return F.when(F.translate(text, _DIGITS, "") != text, known)
 
 
 def parse_timestamp(text: Column, as_of: datetime | Column) -> Column:
-    """Like `parse_date`, as a timestamp (UTC, whole seconds)."""
-
-    def parse(clean: Column) -> Column:
-        notation = F.coalesce(*[F.when(clean.rlike(p), F.regexp_replace(clean, p, to)) for p, to in _REWRITES])
-        absolute = bind(F.split(notation, r"\|"), _build)
-        return _within_calendar(F.when(clean.rlike(RELATIVE), _relative(clean, as_of)).otherwise(absolute))
-
-    return F.date_trunc("second", bind(py_strip(text), parse))
+    """Like `parse_date`, as a timestamp (UTC, whole seconds). The session's zone must be UTC."""
+    found = bind(py_strip(text), lambda clean: F.coalesce(_usual(clean), _unusual(clean, as_of)))
+    return F.date_trunc("second", _within_calendar(found))
 
 
 def format_iso_utc(ts: Column) -> Column:
@@ -144,11 +215,12 @@ def parse_date(text: Column, as_of: datetime | Column) -> Column:
 
 def fresh_at(published: Column, as_of: datetime | Column, hours: int = 24) -> Column:
     """Freshness of a timestamp: 0 <= as_of - published <= hours, false for null."""
-    now = utc_literal(as_of)
-    window = F.make_dt_interval(F.lit(0), F.lit(hours))
-    return F.coalesce((published <= now) & (published >= now - window), F.lit(False))
+    window = hours * 3600 * 1_000_000
+    # 0 <= age <= window, with the age named once.
+    age = F.unix_micros(utc_literal(as_of)) - F.unix_micros(published)
+    return F.coalesce(F.abs(age * 2 - window) <= window, F.lit(False))
 
 
 def is_fresh(text: Column, as_of: datetime | Column, hours: int = 24) -> Column:
     """Freshness of a date text in any accepted notation."""
-    return bind(parse_timestamp(text, as_of), lambda published: fresh_at(published, as_of, hours))
+    return fresh_at(parse_timestamp(text, as_of), as_of, hours)

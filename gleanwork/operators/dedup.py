@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.functions.urls import normalize_url
 
 # Fixed value: the error a later arrival carries.
 DUPLICATE = "Duplicate URL"
+# Words of 64 bits in a filter of seen URLs: at about eleven bits a URL it tells a million and a half well.
+FILTER_WORDS = 1 << 18
 _FETCHED = ("status_code", "content", "headers", "elapsed_seconds", "is_playwright")
 
 
@@ -55,11 +57,52 @@ def dedup_urls(pages: DataFrame, mode: str = "mark", seq: str = "seq") -> DataFr
     return marked.drop("first_seq")
 
 
-def skip_seen(pages: DataFrame, seen: DataFrame) -> DataFrame:
-    """Rows whose canonical URL is not in `seen.normalized_url`."""
-    return with_normalized_url(pages).join(
-        seen.select("normalized_url").distinct(), "normalized_url", "left_anti"
-    )
+def url_filter(urls: DataFrame, *by: str, words: int = FILTER_WORDS) -> DataFrame:
+    """(`by`, word, bits): a Bloom filter over `urls.normalized_url`, one per value of `by` (a partition's name).
+
+    A URL sets three bits of one 64-bit word. Filters have at most `words` rows whatever they hold, and filters of the
+    same size merge by `merged_filter`: keep one beside each partition of a history, and the history need not be read again.
+    """
+    word, bits = _place(F.col("normalized_url"), words)
+    named = urls.where(F.col("normalized_url").isNotNull())
+    return named.select(*by, word.alias("word"), bits.alias("bits")).groupBy(*by, "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def merged_filter(filters: DataFrame) -> DataFrame:
+    """One filter over everything the given ones hold."""
+    return filters.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
+def _place(url: Column, words: int) -> tuple[Column, Column]:
+    """The word of a URL and its bits in that word."""
+    h = F.xxhash64(url)
+    one = F.lit(1).cast("bigint")
+    bits = [F.call_function("shiftleft", one, F.shiftrightunsigned(h, n).bitwiseAND(63).cast("int")) for n in (40, 46, 52)]
+    return F.pmod(h, F.lit(words)), bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+
+
+def split_by_filter(named: DataFrame, known: DataFrame, words: int = FILTER_WORDS) -> tuple[DataFrame, DataFrame]:
+    """(rows the filter rules out, rows it may hold). Neither moves: the filter, `words` rows at most, is broadcast."""
+    word, bits = _place(F.col("normalized_url"), words)
+    small = F.broadcast(known.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
+    met = named.join(small, word == F.col("_word"), "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(bits) == bits, F.lit(False))
+    return met.where(~maybe).select(named.columns), met.where(maybe).select(named.columns)
+
+
+def skip_seen(pages: DataFrame, seen: DataFrame, known: DataFrame | None = None, words: int = FILTER_WORDS) -> DataFrame:
+    """Rows whose canonical URL is not in `seen.normalized_url`; rows without a URL stay.
+
+    `known` is the merged filter of the history, if it was kept (of the same `words`); else it is made from `seen`. What it rules out
+    is new and is never shuffled. Possible hits meet the history: their distinct URLs are looked up, and the
+    rows then meet one row per URL, so that a URL with a third of all rows is split at run time. A full
+    filter rules out less and loses nothing.
+    """
+    named = with_normalized_url(pages)
+    new, maybe = split_by_filter(named, known if known is not None else url_filter(seen, words=words), words)
+    asked = maybe.select("normalized_url").distinct()
+    found = asked.join(seen.select("normalized_url"), "normalized_url", "left_semi")
+    return new.unionByName(maybe.join(found, "normalized_url", "left_anti"))
 
 
 def drop_failed(pages: DataFrame) -> DataFrame:

@@ -50,9 +50,9 @@ def _first(values: Column) -> Column:
 
 
 def _first_dated(texts: Column, as_of) -> Column:
-    """First of the texts that parses as a date. One lambda, however many sources: the parser is a
-    large expression, and a `coalesce` of copies would outgrow generated code."""
-    return _first(F.filter(F.transform(texts, lambda t: parse_timestamp(t, as_of)), F.isnotnull))
+    """First of the texts that parses as a date; those behind it are not looked at. One lambda, however many
+    sources: the parser is a large expression, and a `coalesce` of copies would outgrow generated code."""
+    return F.aggregate(texts, F.lit(None).cast("timestamp"), lambda found, t: F.coalesce(found, parse_timestamp(t, as_of)))
 
 
 # -- papers ---------------------------------------------------------------------------------------

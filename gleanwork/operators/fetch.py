@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_RETRIES = 4
+# Twins of one attempt number that are told apart.
+TWINS = 1 << 32
 
 
 def _error_text(last: Column, max_retries: int) -> Column:
@@ -26,21 +28,25 @@ def fetch_outcome(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
 
     429, 5xx and network errors settle nothing, every other status settles the URL at once. The whole
     log can settle a URL, attempts beyond `max_retries` (counted from 0) too; `retryable` marks URLs
-    whose log ends unsettled before that attempt.
+    whose log ends unsettled before that attempt. Of attempts with the same number any one counts.
     """
     status = F.col("status")
     again = status.isNull() | (status == 429) | status.between(500, 599)
-    row = F.struct("attempt", "status", "content", "headers", "exception", "elapsed_seconds")
-    # An attempt that settles nothing has no content worth carrying.
-    no_content = F.lit(None).cast("string").alias("content")
-    unsettled = F.struct("attempt", "status", no_content, "headers", "exception", "elapsed_seconds")
-    folded = attempts.groupBy("url").agg(
-        F.min_by(row, F.when(~again, F.col("attempt"))).alias("settled"),
-        F.max_by(unsettled, F.when(F.col("attempt") <= max_retries, F.col("attempt"))).alias("latest"),
-        F.max_by(unsettled, "attempt").alias("beyond"),
-    )
-    last = F.coalesce("settled", "latest", "beyond")
-    return folded.select(
+    # Attempts are told apart by their number, twins of one number by a hash: one long per attempt, so the fold is
+    # a hash aggregation of three numbers, and no page text enters it.
+    content = F.xxhash64("status", "content", "exception", "elapsed_seconds")
+    named = attempts.withColumn("_attempt", F.col("attempt").cast("bigint") * TWINS + F.pmod(content, F.lit(TWINS)))
+    number, due = F.col("_attempt"), F.col("attempt") <= max_retries
+    folded = named.groupBy("url").agg(
+        F.min(F.when(~again, number)).alias("settled"), F.max(F.when(due, number)).alias("latest"), F.max(number).alias("beyond"))
+    chosen = folded.select(
+        F.col("url").alias("_url"), F.coalesce("settled", "latest", "beyond").alias("_chosen"), F.col("settled").isNotNull().alias("_settled"))
+    met = named.join(chosen, F.col("url").eqNullSafe(F.col("_url")) & (number == F.col("_chosen")))
+    # An attempt that is logged twice is one; only settled ones have content worth carrying.
+    row = F.struct("attempt", "status", F.when(F.col("_settled"), F.col("content")).alias("content"), "headers", "exception", "elapsed_seconds")
+    picked = met.groupBy("url").agg(F.collect_list(F.struct("_settled", row.alias("row"))).alias("rows"))
+    last = F.col("rows")[0]["row"]
+    return picked.select(
         "url",
         last["status"].alias("status_code"),
         F.when(last["status"] == 200, last["content"]).alias("content"),
@@ -48,5 +54,5 @@ def fetch_outcome(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
         _error_text(last, max_retries).alias("error"),
         last["elapsed_seconds"].alias("elapsed_seconds"),
         (last["attempt"] + 1).alias("attempts"),
-        (F.col("settled").isNull() & (last["attempt"] < max_retries)).alias("retryable"),
+        (~F.col("rows")[0]["_settled"] & (last["attempt"] < max_retries)).alias("retryable"),
     )

@@ -269,11 +269,45 @@ def collapse_whitespace(text: str) -> str:
     return "\n".join(kept).strip()
 
 
-def read_page(markup: str | None) -> PageReader | None:
-    """The parsed page, or None where the markup cannot be read at all."""
+# Elements that can still change a fact; facts of a first element are settled when it has ended.
+_FACT_TAGS = {
+    "metas": ("meta",), "ld": ("script",), "ld_json": ("script",), "h1": ("h1",), "h1_titled": ("h1",), "title": ("title",),
+    "time_datetime": ("time",), "hrefs": ("a",), "repo_href": ("a",), "author_links": ("a", "div"), "dateline": ("div",),
+    "raw_repo_url": (),
+}
+_PIECE = 2048
+
+
+def _last_change(markup: str, wanted: Sequence[str] | None) -> int:
+    """Behind this place nothing begins that could change one of the wanted facts."""
+    if wanted is None or not all(fact in _FACT_TAGS for fact in wanted):
+        return len(markup)
+    tags = sorted({tag for fact in wanted for tag in _FACT_TAGS[fact]})
+    last = 0
+    for found in re.finditer(rf"<(?:{'|'.join(tags)})(?![a-z0-9])", markup, re.I) if tags else ():
+        last = found.end()
+    return last
+
+
+def read_page(markup: str | None, wanted: Sequence[str] | None = None) -> PageReader | None:
+    """The parsed page, or None where the markup cannot be read at all.
+
+    With `wanted` facts, reading ends at the first place after which none of them can change.
+    """
     reader = PageReader()
+    text = markup or ""
+    last = _last_change(text, wanted)
     try:
-        reader.feed(markup or "")
+        if last < len(text):
+            at = 0
+            while at < len(text):
+                reader.feed(text[at : at + _PIECE])
+                at += _PIECE
+                # What the reader holds back is not read yet; an element that is still open may take more text.
+                if at - len(reader.rawdata) > last and not reader.spans and not reader.cdata_elem:
+                    return reader
+        else:
+            reader.feed(text)
         reader.close()
         reader._end_run()
     except (AssertionError, ValueError):
@@ -306,7 +340,7 @@ def _first_repo_link(texts) -> str | None:
 
 def page_facts(markup: str | None, wanted: Sequence[str]) -> dict:
     """The wanted facts of one page."""
-    parsed = read_page(markup)
+    parsed = read_page(markup, wanted)
     reader = parsed or PageReader()
     first = reader.first
     makers = {

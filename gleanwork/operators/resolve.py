@@ -18,12 +18,16 @@ two shared bigrams are found the same way on single characters, which share at l
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from difflib import SequenceMatcher
 from fractions import Fraction
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.functions.names import normalize_entity_name, sequence_score
+from gleanwork.functions.names import normalize_entity_name
 from gleanwork.functions.text import py_strip
 from gleanwork.operators.lookup import lookup_join
 from gleanwork.session import staged
@@ -164,8 +168,8 @@ def fuzzy_candidates(norms: DataFrame, forms: DataFrame, threshold: float = THRE
     left, right = norms.select("norm"), forms.select("norm")
     order = _exploded(right, t).groupBy("gram", "copy").agg(F.count("*").alias("n_forms"))
     theirs = _keys(right, order, t).withColumnRenamed("norm", "form")
-    pairs = _keys(left, order, t).join(theirs, "key")
-    return pairs.where(_may_reach(t)).select("norm", "form").distinct()
+    pairs = _keys(left, order, t).join(theirs, "key").select("norm", "form").distinct()
+    return pairs.where(_may_reach(t))
 
 
 def _may_reach(t: Fraction) -> Column:
@@ -191,12 +195,59 @@ def best_match(scored: DataFrame) -> DataFrame:
     )
 
 
+def upper_bound() -> Column:
+    """No ratio of (norm, form) is higher: the edit distance is at most the number of unmatched characters."""
+    total = F.length("norm") + F.length("form")
+    return (total - F.levenshtein("norm", "form")) / total
+
+
+def _bound_ordered(threshold: float):
+    """Top-1 search over candidates that come per norm from the highest bound down.
+
+    The best ratio found so far ends a norm's search as soon as no later bound can beat it, so most candidates are
+    never compared. Only the norm at hand is remembered, also from one batch to the next.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher, norm, best, compared = SequenceMatcher(None), None, None, 0
+        columns = ["norm", "fuzzy_name", "score", "score_2", "n_compared"]
+
+        def answer() -> tuple:
+            return (norm, best[2], best[0], round(best[0], 2), compared) if best else (norm, None, None, None, compared)
+
+        for batch in batches:
+            done = []
+            for a, form, name, pos, bound in zip(*(batch[c] for c in ("norm", "form", "name", "pos", "bound"))):
+                if a != norm:
+                    if norm is not None:
+                        done.append(answer())
+                    norm, best, compared = a, None, 0
+                if best and (bound, -pos) <= (best[0], best[1]):
+                    continue
+                compared += 1
+                matcher.set_seqs(a, form)
+                ratio = matcher.ratio()
+                if ratio >= threshold and (best is None or (ratio, -pos) > best[:2]):
+                    best = (ratio, -pos, name)
+            yield pd.DataFrame(done, columns=columns)
+        if norm is not None:
+            yield pd.DataFrame([answer()], columns=columns)
+
+    return run
+
+
+def searched(norms: DataFrame, forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(norm, fuzzy_name, score, score_2, n_compared) of every norm with candidates; null names found no match."""
+    pairs = fuzzy_candidates(norms, forms, threshold)
+    ranked = pairs.join(forms.select(F.col("norm").alias("form"), "name", "pos"), "form").withColumn("bound", upper_bound())
+    ordered = ranked.repartition("norm").sortWithinPartitions("norm", F.desc("bound"), "pos")
+    return ordered.select("norm", "form", "name", "pos", "bound").mapInPandas(
+        _bound_ordered(threshold), "norm string, fuzzy_name string, score double, score_2 double, n_compared bigint")
+
+
 def fuzzy_join(norms: DataFrame, forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(norm, fuzzy_name, score, score_2 = score to two digits) for the norms with a candidate at or above the threshold."""
-    pairs = fuzzy_candidates(norms, forms, threshold)
-    scored = pairs.withColumn("match", sequence_score("norm", "form")).where(F.col("match.ratio") >= threshold)
-    ranked = scored.join(forms.select(F.col("norm").alias("form"), "name", "pos"), "form")
-    return best_match(ranked.select("norm", "name", "pos", "match.ratio", "match.rounded"))
+    return searched(norms, forms, threshold).where(F.col("fuzzy_name").isNotNull()).drop("n_compared")
 
 
 def canonical_characters(forms: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """Keyed merges of new records into a stored snapshot, and row ids.
 
-A batch is first folded to one row per key, in arrival order (`seq`). The fold combines before the
-shuffle, so a key that makes up a third of the batch arrives as one row per map task. The merge
-then joins two sides that are unique per key.
+A batch is first folded to one row per key, in arrival order (`seq`, unique per row). The fold works on arrival
+numbers alone: per key the first one, and per changing column the newest one with a usable value. These are
+numbers of fixed width, so they are hash-aggregated and combined before the shuffle: a key that makes up a third of the
+batch arrives as one row per map task, and no text is sorted or carried along. The few rows that won something then give their
+values. The merge joins two sides that are unique per key.
 
 Rows without a key cannot be merged. `split_keyed` sets them apart; a fold that meets one fails.
 """
@@ -55,20 +57,42 @@ def split_keyed(delta: DataFrame, rule: MergeRule) -> tuple[DataFrame, DataFrame
     return delta.where(F.col(rule.key).isNotNull()), lost.withColumn("reasons", F.array(F.lit(f"{rule.key} is null")))
 
 
+def winning_seqs(delta: DataFrame, rule: MergeRule, seq: str = "seq") -> DataFrame:
+    """(key, first_seq, newest): per key the first arrival, and per changing column the newest usable one."""
+    changing = [c for c in delta.columns if c in (*rule.filled, *rule.present)]
+    key = F.coalesce(rule.key, F.raise_error(F.lit(f"{rule.key} is null: set such rows apart with split_keyed")))
+    newest = [F.max(F.when(_usable(c, rule, delta).isNotNull(), F.col(seq))).alias(f"_{i}") for i, c in enumerate(changing)]
+    folded = delta.groupBy(key.alias(rule.key)).agg(F.min(seq).alias("first_seq"), *newest)
+    won = [F.col(f"_{i}").alias(c) for i, c in enumerate(changing)]
+    return folded.select(rule.key, "first_seq", F.struct(*won).alias("newest"))
+
+
 def fold_delta(delta: DataFrame, rule: MergeRule, seq: str = "seq") -> DataFrame:
     """One row per key: `first` = its first row, `newest` = the newest usable value per changing
-    column, `first_seq` = its arrival. A null key fails the run: see `split_keyed`."""
+    column, `first_seq` = its arrival. A null key fails the run: see `split_keyed`.
+
+    `delta` is read twice: stage it if it is expensive."""
     columns = [c for c in delta.columns if c not in (rule.key, seq)]
     changing = [c for c in columns if c in (*rule.filled, *rule.present)]
-    newest = []
-    for c in changing:
-        value = _usable(c, rule, delta)
-        newest.append(F.max_by(F.col(c), F.when(value.isNotNull(), F.col(seq))).alias(c))
-    key = F.coalesce(rule.key, F.raise_error(F.lit(f"{rule.key} is null: set such rows apart with split_keyed")))
-    folded = delta.groupBy(key.alias(rule.key)).agg(
-        F.min(seq).alias("first_seq"), F.min_by(F.struct(*columns), seq).alias("first"), *newest
-    )
-    return folded.select(rule.key, "first_seq", "first", F.struct(*changing).alias("newest"))
+    won = winning_seqs(delta, rule, seq)
+    # A row that won several columns is fetched once; arrivals are unique, so no task gets a hot key here.
+    seqs = F.array_distinct(F.array_compact(F.array("first_seq", *[F.col("newest")[c] for c in changing])))
+    asked = won.select(F.col(rule.key).alias("_key"), "first_seq", "newest", F.explode(seqs).alias("_seq"))
+    rows = delta.select(F.col(seq).alias("_seq"), F.struct(*columns).alias("row"))
+    fetched = asked.join(rows, "_seq")
+    # At most one row per changing column and one more come together again.
+    held = fetched.groupBy("_key").agg(
+        F.any_value("first_seq").alias("first_seq"), F.collect_list(F.struct("_seq", "row", "newest")).alias("held"))
+    values = held.select(
+        F.col("_key").alias(rule.key), "first_seq", F.map_from_entries(F.transform("held", lambda h: F.struct(h["_seq"], h["row"]))).alias("rows"),
+        F.col("held")[0]["newest"].alias("won"))
+
+    def value(at: Column, c: str) -> Column:
+        return F.try_element_at("rows", at)[c]
+
+    return values.select(
+        rule.key, "first_seq", F.try_element_at("rows", F.col("first_seq")).alias("first"),
+        F.struct(*[value(F.col("won")[c], c).alias(c) for c in changing]).alias("newest"))
 
 
 def inserted_rows(folded: DataFrame, rule: MergeRule) -> DataFrame:

@@ -341,6 +341,9 @@ SELECT s2.id, CASE WHEN s2.id IS NULL THEN d.seq END AS seq, coalesce(s2.paper_u
 FROM s2 FULL JOIN d ON s2.paper_url = d.paper_url""",
     "upsert_jobs": _posting_oracle("JOB"),
     "upsert_news": _posting_oracle("NEWS"),
+    "skip_seen_history": """
+SELECT l_orderkey * 10 + l_linenumber AS seq, 'https://s.example/' || CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END AS normalized_url
+FROM lineitem WHERE l_orderkey % 3 <> 0 AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 5 < 2)""",
     "assign_ids": "SELECT 1000 + row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey * 7 AS seq FROM orders",
     "append_startups": f"""
 SELECT row_number() OVER (ORDER BY s_suppkey % 2, s_suppkey) AS id, s_name AS entity_name, (s_suppkey % 5 - 1)::INTEGER AS employee_count,

@@ -17,7 +17,7 @@ from gleanwork.operators import (
     chunk, dedup, enrich, extract, fetch, html, records, resolve, responses, upsert, validate,
 )
 from gleanwork.plans import jobs
-from gleanwork.session import ensure_settings, scratch_dir
+from gleanwork.session import ensure_settings, scratch_dir, staged
 from gleanwork.sources.export import LAYOUTS, export_layout, write_csv
 from gleanwork.sources import inputs
 from gleanwork.sources.inputs import spread
@@ -130,6 +130,20 @@ def skip_seen(spark, sf_dir):
     return dedup.skip_seen(pages, seen).select("seq", "normalized_url")
 
 
+@query
+def skip_seen_history(spark, sf_dir):
+    """Line items as pages, a third of them one URL, against a history in four parts, each with a stored filter."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    hot = F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_partkey"))
+    pages = items.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), text_of("https://S.example/", hot, "/?utm_id=", F.col("l_orderkey")).alias("url"))
+    parts = table(spark, sf_dir, "part").where("p_partkey % 5 < 2")
+    seen = parts.select(F.col("p_partkey") % 4, text_of("https://s.example/", F.col("p_partkey"))).toDF("part", "normalized_url")
+    seen = staged(seen.unionAll(spark.range(1).select(F.lit(0).cast("bigint"), F.lit("https://s.example/0"))), "history")
+    filters = staged(dedup.url_filter(seen, "part"), "history-filters")
+    return dedup.skip_seen(pages, seen, dedup.merged_filter(filters)).select("seq", "normalized_url")
+
+
 @query
 def drop_failed(spark, sf_dir):
     return dedup.drop_failed(dedup.dedup_urls(_twin_pages(spark, sf_dir), "mark")).select("seq", "url")
@@ -180,7 +194,7 @@ def parse_date_formats(spark, sf_dir):
         F.date_format(day, "yyyyMMdd"),
         text_of("on ", F.date_format(day, "yyyy.MM.dd")),
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", dates.parse_date(shown, AS_OF).alias("published_date"))
+    return wide(spark, sf_dir, "orders", "o_orderkey", "o_orderdate").select("o_orderkey", dates.parse_date(shown, AS_OF).alias("published_date"))
 
 
 @query
@@ -188,7 +202,7 @@ def relative_date(spark, sf_dir):
     units = ("second", "secs", "minutes", "MIN", "hours", "hrs", "day", "weeks", "Months", "years")
     unit = every("event_id", len(units), *units)
     phrase = text_of("seen ", F.floor("value").cast("int"), "  ", unit, " ago by ", F.col("user_id"))
-    return table(spark, sf_dir, "events").select("event_id", dates.parse_date(phrase, F.col("ts")).alias("published_date"))
+    return wide(spark, sf_dir, "events", "event_id", "value", "user_id", "ts").select("event_id", dates.parse_date(phrase, F.col("ts")).alias("published_date"))
 
 
 @query
@@ -200,7 +214,7 @@ def fresh_events(spark, sf_dir):
         F.lit((AS_OF - timedelta(hours=24, seconds=1)).isoformat() + "Z"), F.lit("no date"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
     )
-    return table(spark, sf_dir, "events").select("event_id", dates.is_fresh(edge, AS_OF).alias("is_fresh"))
+    return wide(spark, sf_dir, "events", "event_id", "ts").select("event_id", dates.is_fresh(edge, AS_OF).alias("is_fresh"))
 
 
 @query
@@ -695,8 +709,9 @@ def _keyed_postings(spark, sf_dir, kind):
 def _posting_history(spark, sf_dir, kind):
     """(snapshot, delta): a tenth of the postings makes the stored rows, the others are the batch."""
     rows = _keyed_postings(spark, sf_dir, kind)
-    old = rows.where("seq % 10 = 1").groupBy("source_url").agg(F.min_by(F.struct(*rows.columns), "seq").alias("r"))
-    snapshot = old.select((F.col("r.seq") + 1).alias("id"), "r.*").drop("seq").withColumns(
+    old = rows.where("seq % 10 = 1")
+    old = old.join(old.groupBy("source_url").agg(F.min("seq").alias("seq")).select("seq"), "seq", "left_semi")
+    snapshot = old.select((F.col("seq") + 1).alias("id"), *rows.columns).drop("seq").withColumns(
         {"title": F.coalesce("title", F.lit("stored")), "is_fresh": F.coalesce("is_fresh", F.lit(False))}
     )
     return snapshot, rows.where("seq % 10 <> 1")
@@ -942,11 +957,13 @@ def stream_dedup_urls(spark, sf_dir):
 
 @query
 def stream_dedup_exact(spark, sf_dir):
-    path = scratch_dir(spark, "dedup-exact")
-    running = streams.dedup_into(
-        _event_pages(_stream(spark, sf_dir, "events")), f"{path}/seen", f"{path}/out", f"{path}/checkpoint"
-    )
-    running.awaitTermination()
+    """All events in three micro-batches, in the order of their numbers."""
+    path, events = scratch_dir(spark, "dedup-exact"), table(spark, sf_dir, "events")
+    third = F.floor(F.col("event_id") * 3 / (events.agg(F.max("event_id")).scalar() + 1))
+    for part in range(3):
+        events.where(third == part).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    streams.dedup_into(_event_pages(arriving).select("seq", "url"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.schema("seq BIGINT, normalized_url STRING").parquet(f"{path}/out").select("seq", "normalized_url")
 
 

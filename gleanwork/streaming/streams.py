@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from gleanwork.functions.dates import is_fresh
-from gleanwork.operators.dedup import dedup_urls, skip_seen, with_normalized_url
+from gleanwork.operators.dedup import with_normalized_url
 from gleanwork.operators.upsert import MergeRule
 from gleanwork.sources.store import TableStore
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def stream_dedup_urls(pages: DataFrame, delay: str = "1 day", event_time: str = "fetched_at") -> DataFrame:
     """First arrival per canonical URL, remembered for `delay` of event time.
@@ -59,27 +61,75 @@ def stream_upsert(
     )
 
 
-def dedup_into(pages: DataFrame, seen_path: str, out_path: str, checkpoint: str, seq: str = "seq", **trigger) -> StreamingQuery:
-    """Exact dedup over the whole history: lowest `seq` per micro-batch, and nothing seen before.
+class _FirstArrival(StatefulProcessor):
+    """Lets the lowest `seq` of a URL's first micro-batch through and remembers the URL."""
+
+    def __init__(self, seq: str, ttl_ms: int | None) -> None:
+        self.seq, self.ttl_ms = seq, ttl_ms
+
+    def init(self, handle) -> None:
+        self.seen = handle.getValueState("seen", "first_seq bigint", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        known, first = self.seen.exists(), None
+        for frame in rows:  # in pieces: a hot URL is never held whole
+            if not known and len(frame):
+                low = frame.loc[[frame[self.seq].idxmin()]]
+                if first is None or low[self.seq].iloc[0] < first[self.seq].iloc[0]:
+                    first = low.copy()
+        if first is not None:
+            self.seen.update((int(first[self.seq].iloc[0]),))
+            yield first.reset_index(drop=True)
+
+    def close(self) -> None:
+        pass
 
-    Each micro-batch owns one folder per output, so a replay overwrites its own rows only.
+
+def stream_first_arrivals(pages: DataFrame, seq: str = "seq", ttl: timedelta | None = None) -> DataFrame:
+    """Per canonical URL the first arrival ever: the lowest `seq` of the first micro-batch that holds it.
+
+    URLs seen are keyed state in the RocksDB store, on disk beside the checkpoint: no micro-batch reads the history
+    again, and a restart goes on where the last one ended. With a `ttl` a URL counts as new that long after its
+    first arrival (processing time). Rows without a URL all pass. Select what you need before: rows pass through Python.
     """
     spark = pages.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    named = with_normalized_url(pages)
+    keyed, free = named.where(F.col("normalized_url").isNotNull()), named.where(F.col("normalized_url").isNull())
+    processor = _FirstArrival(seq, int(ttl.total_seconds() * 1000) if ttl else None)
+    firsts = keyed.groupBy("normalized_url").transformWithStateInPandas(
+        processor, keyed.schema, "Append", "ProcessingTime" if ttl else "None")
+    return firsts.unionAll(free)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        earlier = spark.read.schema("normalized_url STRING, batch_id BIGINT").parquet(seen_path).where(
-            F.col("batch_id") < batch_id
-        )
-        fresh = skip_seen(dedup_urls(batch, "drop", seq).drop("normalized_url"), earlier)
-        folder = f"{out_path}/batch_id={batch_id}"
-        fresh.write.mode("overwrite").parquet(folder)
-        written = spark.read.schema(fresh.schema).parquet(folder)
-        written.select("normalized_url").write.mode("overwrite").parquet(f"{seen_path}/batch_id={batch_id}")
-
-    spark.createDataFrame([], "normalized_url STRING").write.mode("ignore").parquet(f"{seen_path}/batch_id=-1")
+
+def dedup_into(pages: DataFrame, out_path: str, checkpoint: str, seq: str = "seq", ttl: timedelta | None = None, **trigger) -> StreamingQuery:
+    """`stream_first_arrivals` into a Parquet folder."""
     return (
-        pages.writeStream.foreachBatch(apply)
+        stream_first_arrivals(pages, seq, ttl).writeStream.format("parquet").option("path", out_path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def stream_freshness_summary(
+    records: DataFrame, kind: str, published: str = "published_date", event_time: str = "fetched_at",
+    window: str = "1 day", delay: str = "1 hour", hours: int = 24,
+) -> DataFrame:
+    """(window_start, `kind`, n_rows, n_fresh) of closed event-time windows, for append mode.
+
+    A window is given out once, when the watermark has passed its end; rows that come later are not counted in it
+    (the query's progress reports them as dropped by the watermark). State holds open windows only.
+    """
+    fresh = is_fresh(F.col(published), F.col(event_time), hours)
+    timed = records.select(F.col(event_time).alias("at"), kind, fresh.alias("fresh")).withWatermark("at", delay)
+    counts = timed.groupBy(F.window("at", window).alias("w"), kind).agg(F.count("*").alias("n_rows"), F.count_if("fresh").alias("n_fresh"))
+    return counts.select(F.col("w.start").alias("window_start"), kind, "n_rows", "n_fresh")
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows of a finished query that came behind its watermark, as far as its recent progress tells.
+
+    Partial aggregation comes before the check, so rows of one window and kind count as one.
+    """
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)

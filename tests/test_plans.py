@@ -55,10 +55,15 @@ def test_ids_reach_every_order(spark):
 
 def test_aggregations_combine_before_the_shuffle(spark):
     plan = plan_of(spark, "upsert_papers")
-    assert plan.count("partial_max_by") > 0 and plan.count("partial_min_by") > 0
+    assert plan.count("partial_max(") > 0 and plan.count("partial_min(") > 0
     assert "partial_min" in plan_of(spark, "dedup_urls")
 
 
+@pytest.mark.parametrize("name", ["upsert_papers", "upsert_jobs", "upsert_news", "fetch_outcome"])
+def test_folds_sort_nothing(spark, name):
+    assert "SortAggregate" not in plan_of(spark, name)
+
+
 def test_entry(spark):
     entry = importlib.import_module("__spark_entry__")
     assert entry.entry(spark).count() > 0

@@ -194,7 +194,7 @@ def test_exact_stream_dedup_over_batches(spark, folder):
     rows = spark.createDataFrame(data, "seq bigint, url string")
     files_of(rows, f"{folder}/in", "seq BETWEEN 3 AND 9", "seq < 3 OR seq > 9")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    streams.dedup_into(stream, f"{folder}/seen", f"{folder}/out", f"{folder}/ck").awaitTermination()
+    streams.dedup_into(stream, f"{folder}/out", f"{folder}/ck").awaitTermination()
     kept = spark.read.parquet(f"{folder}/out")
     assert kept.count() == 5 and kept.select("normalized_url").distinct().count() == 5
 
