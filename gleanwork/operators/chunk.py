@@ -62,28 +62,33 @@ def chunk_documents(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, kind = [id_col, "chunk_no", "chunk"], batch.schema.field(id_col).type
-            ids, numbers, pieces, held = [], [], [], 0
-
-            def flush() -> pa.RecordBatch:
-                made = [pa.array(ids, kind), pa.array(numbers, pa.int32()), pa.array(pieces, pa.string())]
-                return pa.RecordBatch.from_arrays(made, names=names)
-
-            for key, raw in zip(batch.column(id_col).to_pylist(), batch.column(text).to_pylist()):
-                for number, piece in enumerate(text_chunks(raw, max_chars, overlap)):
-                    ids.append(key)
-                    numbers.append(number)
-                    pieces.append(piece)
-                    held += len(piece)
-                    if held > _FLUSH_CHARS:
-                        yield flush()
-                        ids, numbers, pieces, held = [], [], [], 0
-            if ids:
-                yield flush()
+            yield from _cut_batch(batch, max_chars, overlap)
 
     return picked.mapInArrow(cut, schema)
 
 
+def _cut_batch(batch: pa.RecordBatch, max_chars: int, overlap: int) -> Iterator[pa.RecordBatch]:
+    """The chunks of a batch (id, text), in batches of bounded size."""
+    names, kind = [batch.schema.names[0], "chunk_no", "chunk"], batch.schema.types[0]
+    ids, numbers, pieces, held = [], [], [], 0
+
+    def flush() -> pa.RecordBatch:
+        made = [pa.array(ids, kind), pa.array(numbers, pa.int32()), pa.array(pieces, pa.string())]
+        return pa.RecordBatch.from_arrays(made, names=names)
+
+    for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for number, piece in enumerate(text_chunks(raw, max_chars, overlap)):
+            ids.append(key)
+            numbers.append(number)
+            pieces.append(piece)
+            held += len(piece)
+            if held > _FLUSH_CHARS:
+                yield flush()
+                ids, numbers, pieces, held = [], [], [], 0
+    if ids:
+        yield flush()
+
+
 def extraction_requests(
     docs: DataFrame, system: str | None = None, max_chars: int = MAX_CHARS, overlap: int = OVERLAP, **columns: str
 ) -> DataFrame:
@@ -100,3 +105,15 @@ def register_chunk_udtf(spark: SparkSession, name: str = "chunk_text") -> None:
             yield from enumerate(text_chunks(text, max_chars, overlap))
 
     spark.udtf.register(name, F.udtf(ChunkText, returnType="chunk_no: int, chunk: string"))
+
+
+def register_chunk_table(spark: SparkSession, name: str = "chunk_table", id_type: str = "bigint") -> None:
+    """`SELECT * FROM chunk_table(TABLE(docs), max_chars, overlap)`: chunks of a table (id, text), batch by batch."""
+
+    class ChunkTable:
+        def eval(self, rows: pa.RecordBatch, max_chars: pa.Array, overlap: pa.Array) -> Iterator[pa.Table]:
+            if rows.num_rows:
+                for made in _cut_batch(rows, max_chars[0].as_py(), overlap[0].as_py()):
+                    yield pa.Table.from_batches([made.rename_columns(["id", "chunk_no", "chunk"])])
+
+    spark.udtf.register(name, F.arrow_udtf(ChunkTable, returnType=f"id {id_type}, chunk_no int, chunk string"))

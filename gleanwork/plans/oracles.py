@@ -261,6 +261,32 @@ FROM ({_PAPER_RECORD})""",
 SELECT o_orderkey AS seq, CASE o_orderkey % 5 WHEN 1 THEN 2 ELSE 1 END::BIGINT AS n_items,
   CASE o_orderkey % 5 WHEN 1 THEN 1 ELSE 0 END::INTEGER AS last_script FROM orders WHERE o_orderkey % 5 IN (1, 2)""",
     "chunk_documents": _chunks(4000, 200) + "SELECT doc_id, chunk_no, chunk FROM n",
+    "chunk_documents_sql": _chunks(4000, 200) + "SELECT doc_id, chunk_no, chunk FROM n",
+    "sql_functions": f"""
+WITH src AS (SELECT page_id AS id, url AS u FROM pages), {_CANON} SELECT p.page_id, c.normalized_url,
+  regexp_full_match(p.url, 'https?://[^\\s/$.?#][^\\s]+') AS is_valid FROM canon c JOIN pages p ON p.page_id = c.id""",
+    "read_pages": """
+SELECT page_id AS seq, url, CASE WHEN page_id % 10 = 0 THEN 503 ELSE 200 END AS status_code,
+  CASE WHEN page_id % 10 <> 0 THEN length(html) END::INTEGER AS n_chars, CASE WHEN page_id % 10 = 0 THEN 'HTTP 503 server error' END AS error,
+  NULL::VARCHAR AS source_name FROM pages""",
+    "read_lookups": "SELECT c_custkey, c_mktsegment AS canonical_name, 'alias' AS resolution_method FROM customer",
+    "flatten_postings": """
+WITH o AS (
+  SELECT o_orderkey AS seq, 'Title ' || o_custkey AS title, o_orderpriority AS p, 'feed' AS source_name,
+    CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'not a url' ELSE 'https://s.example/' || o_orderkey END AS source_url,
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS published_date, o_orderkey % 2 = 0 AS is_fresh FROM orders)
+SELECT seq, CASE seq % 10 WHEN 0 THEN 'OTHER' ELSE 'JOB' END AS record_type, p AS company_name, title, NULL::VARCHAR AS content_summary,
+  source_name, source_url, published_date, is_fresh FROM o
+UNION ALL
+SELECT seq, CASE seq % 10 WHEN 0 THEN 'OTHER' ELSE 'NEWS' END, NULL, title, p, source_name, source_url, published_date, is_fresh FROM o""",
+    "stream_freshness_summary": """
+WITH e AS (
+  SELECT *, floor(event_id * 3 / (SELECT max(event_id) + 1 FROM events)) AS batch, date_trunc('day', ts) AS d,
+    floor(value) < 24 OR (floor(value) = 24 AND ts = date_trunc('second', ts)) AS fresh FROM events),
+b AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch) - INTERVAL 1 HOUR AS mark FROM e GROUP BY batch),
+m AS (SELECT e.*, late.mark AS late FROM e LEFT JOIN b late ON late.batch = e.batch - 2)
+SELECT strftime(d, '%Y-%m-%d') AS day, event_type, count(*) AS n_rows, count(*) FILTER (WHERE fresh) AS n_fresh
+FROM m WHERE (late IS NULL OR d + INTERVAL 1 DAY > late) AND d + INTERVAL 1 DAY <= (SELECT max(mark) FROM b) GROUP BY ALL""",
     "chunk_documents_small": _chunks(500, 60) + """
 SELECT doc_id, count(*) AS n_chunks, sum(length(chunk))::BIGINT AS n_chars, max(length(chunk))::INTEGER AS longest FROM n GROUP BY doc_id""",
     "extraction_requests": _chunks(2000, 100) + """

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanwork.functions import dates, names, records as record_columns, repos, text, urls
+from gleanwork.functions.sql import register_sql
 from gleanwork.operators import (
     chunk, dedup, enrich, extract, fetch, html, records, resolve, responses, upsert, validate,
 )
@@ -86,6 +87,39 @@ def normalize_url_built(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", urls.normalize_url(built).alias("normalized_url"))
 
 
+@query
+def sql_functions(spark, sf_dir):
+    """The functions offered to `spark.sql`, over all pages and their titles as names."""
+    register_sql(spark)
+    table(spark, sf_dir, "pages").select("page_id", "url").createOrReplaceTempView("sql_pages")
+    return spark.sql("SELECT page_id, normalize_url(url) AS normalized_url, valid_url(url) AS is_valid FROM sql_pages")
+
+
+@query
+def read_pages(spark, sf_dir):
+    """Fetched pages stored under the declared schema and read back, with what a failed fetch leaves out."""
+    path, failed = scratch_dir(spark, "pages"), F.col("page_id") % 10 == 0
+    columns = {"seq": F.col("page_id"), "url": F.col("url"), "status_code": F.when(failed, 503).otherwise(200),
+               "content": F.when(~failed, F.col("html")), "error": F.when(failed, "HTTP 503 server error")}
+    stored = table(spark, sf_dir, "pages").select(*[c.alias(n) for n, c in columns.items()])
+    stored.write.parquet(path)
+    return inputs.read_pages(spark, path).select("seq", "url", "status_code", F.length("content").alias("n_chars"), "error", "source_name")
+
+
+@query
+def read_lookups(spark, sf_dir):
+    """Aliases and canonical names stored as lookup tables, read back and used: every customer's market by its nickname."""
+    path = scratch_dir(spark, "lookups")
+    markets = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("name")).agg(F.min("c_custkey").cast("int").alias("pos"))
+    markets.select("pos", "name").write.parquet(f"{path}/canonicals")
+    markets.select(F.concat(F.lit("the "), F.lower("name")).alias("norm"), F.col("name").alias("canonical")).write.parquet(f"{path}/aliases")
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", text_of("The ", F.col("c_mktsegment"), every("c_custkey", 2, " Inc.", "")).alias("raw_name"),
+        F.lit("MARKET").alias("entity_type"), nothing().alias("source_url"))
+    found = resolve.resolve_entities(rows, inputs.read_canonicals(spark, f"{path}/canonicals"), inputs.read_aliases(spark, f"{path}/aliases"))
+    return found.select("c_custkey", "canonical_name", "resolution_method")
+
+
 @query
 def host_counts(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(urls.url_host(F.col("url")).alias("host"))
@@ -370,6 +404,14 @@ def chunk_documents_small(spark, sf_dir):
     )
 
 
+@query
+def chunk_documents_sql(spark, sf_dir):
+    """The chunks of all documents by the table function, in SQL."""
+    chunk.register_chunk_table(spark)
+    wide(spark, sf_dir, "documents", "doc_id", "text").createOrReplaceTempView("chunk_source")
+    return spark.sql("SELECT id AS doc_id, chunk_no, chunk FROM chunk_table(TABLE(chunk_source), 4000, 200)")
+
+
 @query
 def extraction_requests(spark, sf_dir):
     asked = chunk.extraction_requests(wide(spark, sf_dir, "documents", "doc_id", "text"), "Extract the names.", 2000, 100)
@@ -617,6 +659,14 @@ def validate_news(spark, sf_dir):
     return _reasons(validate.validate_news(_postings(spark, sf_dir, "NEWS")))
 
 
+@query
+def flatten_postings(spark, sf_dir):
+    """Jobs and news as table rows, in one frame."""
+    jobs_, news = _postings(spark, sf_dir, "JOB"), _postings(spark, sf_dir, "NEWS")
+    rows = records.union_records(records.flatten_job(jobs_, "seq"), records.flatten_news(news, "seq"))
+    return rows.select("seq", "record_type", "company_name", "title", "content_summary", "source_name", "source_url", "published_date", "is_fresh")
+
+
 @query
 def split_valid(spark, sf_dir):
     """Valid and rejected rows, counted by kind."""
@@ -974,6 +1024,20 @@ def stream_fresh_only(spark, sf_dir):
     return _drain(streams.stream_fresh_only(rows), "fresh").select("event_id", "published_date")
 
 
+@query
+def stream_freshness_summary(spark, sf_dir):
+    """Days of events with their fresh rows, from three micro-batches; what comes behind the watermark is not counted."""
+    path, events = scratch_dir(spark, "freshness"), table(spark, sf_dir, "events")
+    third = F.floor(F.col("event_id") * 3 / (events.agg(F.max("event_id")).scalar() + 1))
+    for part in range(3):
+        events.where(third == part).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    aged = text_of(F.floor("value").cast("int"), " hours ago")
+    rows = arriving.select("event_type", F.col("ts").cast("timestamp").alias("fetched_at"), aged.alias("published_date"))
+    days = _drain(streams.stream_freshness_summary(rows, "event_type"), "freshness-days")
+    return days.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n_rows", "n_fresh")
+
+
 @query
 def stream_upsert(spark, sf_dir):
     """News merged from a stream of orders; same answer as merging them at once."""

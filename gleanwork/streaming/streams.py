@@ -103,11 +103,15 @@ def stream_first_arrivals(pages: DataFrame, seq: str = "seq", ttl: timedelta | N
 
 
 def dedup_into(pages: DataFrame, out_path: str, checkpoint: str, seq: str = "seq", ttl: timedelta | None = None, **trigger) -> StreamingQuery:
-    """`stream_first_arrivals` into a Parquet folder."""
+    """`stream_first_arrivals` into a Parquet folder.
+
+    Without a `trigger` it takes all there is and ends; with a `ttl` in one micro-batch, since a stream that watches the
+    clock never runs dry.
+    """
     return (
         stream_first_arrivals(pages, seq, ttl).writeStream.format("parquet").option("path", out_path)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
+        .trigger(**(trigger or ({"once": True} if ttl else {"availableNow": True})))
         .start()
     )
 

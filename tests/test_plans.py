@@ -16,7 +16,7 @@ from gleanwork.plans.oracles import ORACLES
 
 SF = "/root/testdata/sf0.001"
 STORING = {"append_startups", "append_products", "append_entity_mappings", "store_papers", "lookup_by_url", "run_summary",
-           "read_records", "export_csv", "stream_dedup_urls", "stream_dedup_exact", "stream_fresh_only", "stream_upsert"}
+           "read_records", "export_csv", "stream_dedup_urls", "stream_dedup_exact", "stream_fresh_only", "stream_upsert", "stream_freshness_summary", "read_pages", "read_lookups"}
 
 
 def plan_of(spark, name):
