@@ -13,7 +13,8 @@ Defined results
 ---------------
 * A null text is empty; every document ends with the end id. An id may be null: such documents come first.
 * Rows that repeat an id stay, side by side, ordered by a hash of their text.
-* Special tokens written in a text are ordinary text. Texts of any length are encoded whole.
+* Ids are the library's own for the whole text: a special token written in a text is that token. Texts of any
+  length are encoded whole.
 * An empty table gives files without rows. Further columns are not written, whatever their names.
 """
 
@@ -22,16 +23,17 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanwork.llm.units import Memo, per_process
+from gleanwork.llm.units import per_process
 
 END_ID = 0
-TEXT_PER_FILE = 128 << 20  # characters
+TEXT_PER_FILE = 128 << 20  # bytes
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 # Texts encoded together: bounds the memory of a batch.
@@ -39,6 +41,10 @@ BLOCK_CHARS = 1 << 19
 
 _ODD = re.compile(r" (?:\s|\Z)")
 MEMO_WORDS = 600_000
+# New words encoded side by side in one call.
+TOGETHER = 500
+# Fixed value: how the vocabulary spells a blank.
+BLANK = "\u0120"
 
 
 def pieces(text: str) -> list[str]:
@@ -65,34 +71,91 @@ def _fast_pieces(text: str) -> list[str]:
 
 
 class ByteEncoder:
-    """Ids of texts by a byte-level tokenizer file; words met before are taken from a bounded memo."""
+    """Ids of texts as the library gives them for a byte-level tokenizer file.
+
+    Words met before are taken from a bounded memo. New words are encoded by the library many at a time, side by
+    side in one text: each begins with its blank, no other token does, so the ids fall apart into words again.
+    """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
-        self.memo = Memo(self._library, MEMO_WORDS, self._parts)
-
-    def _library(self, words: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for i in range(0, len(words), 4096):
-            out += [e.ids for e in self.tokenizer.encode_batch_fast(words[i : i + 4096], add_special_tokens=False)]
+        # Words come once, so the library's own cache of words is of no use.
+        self.tokenizer.model._resize_cache(0)
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        size = self.tokenizer.get_vocab_size()
+        begins = np.zeros(size, bool)
+        begins[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(BLANK)]] = True
+        self.begins = begins
+        self.known: dict[str, bytes] = {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _side_by_side(self, words: list[str]) -> list[bytes]:
+        """Ids of words that begin with a blank and hold no further white space."""
+        found: list[bytes] = []
+        for i in range(0, len(words), TOGETHER):
+            part = words[i : i + TOGETHER]
+            ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(self.begins[ids])
+            if len(at) != len(part) or at[0] != 0:
+                found += self._library(part)
+                continue
+            data, bounds = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+            found += [data[x:y] for x, y in zip(bounds, bounds[1:])]
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w[0] == " " and len(w.split()) == 1 and not w[1:2].isspace() and not w[-1].isspace()]
+        self.known.update(zip(plain, self._side_by_side(plain)))
+        if len(plain) < len(words):
+            rest = list(set(words).difference(plain))
+            self.known.update(zip(rest, self._library(rest)))
+
+    def _add(self, new: list[str]) -> None:
+        whole = [w for w in new if w[-1] not in ".," and "\n" not in w]
+        cut = {w: _parts(w) for w in set(new).difference(whole)}
+        self._learn(list({*whole, *chain.from_iterable(cut.values())}.difference(self.known)))
+        known = self.known
+        for w, parts in cut.items():
+            if len(parts) > 1:
+                known[w] = b"".join([known[p] for p in parts])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        if len(self.known) >= MEMO_WORDS:
+            self.known.clear()
+        whole = [i for i, t in enumerate(texts) if self.special and self.special.search(t)]
+        split = [_fast_pieces(t) if t else [] for t in texts]
+        for i in whole:  # the library parts such a text at its special tokens first
+            split[i] = []
+        flat = list(chain.from_iterable(split))
+        ids = list(map(self.known.get, flat))
+        new = {w for w, known in zip(flat, ids) if known is None and w}
+        if new:
+            self._add(list(new))
+            known = self.known.get
+            ids = [known(w, b"") if x is None else x for w, x in zip(flat, ids)]
+        out, at = [], 0
+        for pieces_ in split:
+            out.append(b"".join(ids[at : at + len(pieces_)]))
+            at += len(pieces_)
+        for i in whole:
+            out[i] = self._library([texts[i]])[0]
         return out
 
-    @staticmethod
-    def _parts(piece: str) -> list[str]:
-        """A piece cut once more: at a line feed between words, and before a comma or full stop after a letter."""
-        head, feed, tail = piece.partition("\n")
-        if feed and head and tail and not head[-1].isspace() and not tail[0].isspace():
-            return [*ByteEncoder._parts(head), feed, *ByteEncoder._parts(tail)]
-        if len(piece) > 2 and piece[-1] in ".," and piece[-2] < "ɐ" and piece[-2].isalpha():
-            return [piece[:-1], piece[-1]]
-        return [piece]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, flat, and how many each has."""
-        return self.memo.ids_of([_fast_pieces(t) for t in texts])
+def _parts(piece: str) -> list[str]:
+    """A piece cut once more: at a line feed between words, and before a comma or full stop after a letter."""
+    head, feed, tail = piece.partition("\n")
+    if feed and head and tail and not head[-1].isspace() and not tail[0].isspace():
+        return [*_parts(head), feed, *_parts(tail)]
+    if len(piece) > 2 and piece[-1] in ".," and piece[-2] < "ɐ" and piece[-2].isalpha():
+        return [piece[:-1], piece[-1]]
+    return [piece]
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -108,17 +171,19 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]
 
 
 def _encode(tokenizer_file: str, end_id: int):
+    end = np.array([end_id], "<u4").tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_process(("bytes", tokenizer_file), lambda: ByteEncoder(tokenizer_file))
         for batch in batches:
             for part, texts in _blocks(batch):
-                ids, sizes = encoder.encode(texts)
-                ends = np.cumsum(sizes)
                 # The end id goes behind each document's last id.
-                ids = np.insert(ids.astype(np.int32), ends, end_id)
-                offsets = np.concatenate([[0], ends + np.arange(1, len(sizes) + 1)]).astype(np.int32)
+                lists = [x + end for x in encoder.encode(texts)]
+                sizes = np.array([len(x) // 4 for x in lists], np.int64)
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                ids = np.frombuffer(b"".join(lists), "<i4")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index("doc_id")), pa.array(sizes + 1, pa.int64()),
+                    [part.column(part.schema.get_field_index("doc_id")), pa.array(sizes),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], ["doc_id", "n_tokens", "tokens"])
 
     return run
@@ -133,7 +198,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, key: str
     """
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Small tables are spread as far as the session spreads its shuffles, but not below 4 MB a file.
     n_files = max(1, -(-chars // text_per_file), min(wanted, -(-chars // (4 << 20))))
@@ -162,12 +227,12 @@ def read_token_files(spark: SparkSession, path: str, id_type: str = "bigint") ->
 def starts(files: DataFrame) -> DataFrame:
     """(file, row, doc_id, n_tokens, start): ids of all documents before each, from the metadata columns.
 
-    File names carry the order of the ranges. Sums per file are few rows; inside a file rows are summed in
-    the order they were written.
+    File names carry the number of their range (not padded beyond 99,999, so it is read as a number). Sums per file are few
+    rows; inside a file rows are summed in the order they were written.
     """
     meta = files.select("file", "row", "doc_id", "n_tokens")
     per_file = meta.groupBy("file").agg(F.sum("n_tokens").alias("in_file"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(F.regexp_extract("file", r"^part-(\d+)", 1).cast("bigint"), "file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_file.select("file", F.coalesce(F.sum("in_file").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     placed = meta.withColumn("inner", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
