@@ -2,8 +2,8 @@
 
 `linked` verifies few pairs of a bucket and loses no link between components: every member is first
 compared with one leader of its bucket, so that a group of real copies falls into one component with one
-comparison each. Only members that are still in different components are compared further, in large buckets
-by finer keys. A bucket of n members, all alike, costs n comparisons.
+comparison each; large buckets get a few more leaders. Members that are still in different components are then met under
+finer keys, if the caller has some: keys of which any two linked members share at least one.
 
 `components` contracts stars (large-star and small-star in turn): every round is two aggregations with
 map-side combining and two joins, a hot vertex is an ordinary row of each, and rounds grow with the logarithm
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from gleanwork.session import staged
 
 LEADER_ROUNDS = 2
-# Up to so many open members of a bucket are compared with each other: linear in the members.
+# Buckets with more open members than this get further leaders. It decides about the order of comparisons alone.
 HOT_MEMBERS = 64
 
 
@@ -61,16 +61,16 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return old.unionAll(moved.join(labels, "item", "left_anti").select("item", "label"))
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None,
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], finer: Callable[[DataFrame], DataFrame] | None = None,
            prepare: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """(item, label) of the components that `verify` finds inside buckets.
 
     `members` has (bucket, item), both longs; `verify` takes distinct pairs (a, b), a < b, and returns those
     that are links. The labels are those of all links inside buckets, although not every link is looked
     at: pairs that are already in one component need no look. `prepare` is called once with the items that
-    may be asked about. A bucket that still holds more than `HOT_MEMBERS` members of different components
-    after the leader rounds is handed to `refine`, which gives finer members (bucket, item) for it; without
-    `refine` its open pairs are all looked at.
+    may be asked about. What is open after the leader rounds is handed to `finer` as a table of items, which gives
+    members (bucket, item) under keys that any two linked items of the table share; then pairs of different
+    components that share a key are looked at. Without `finer` all open pairs of a bucket are.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("item").alias("low"), F.max("item").alias("high"))
     sizes = sizes.where("low <> high")
@@ -109,9 +109,7 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine:
         open_ = still_open(open_.select("bucket", "item"))
     if open_.isEmpty():
         return labels
-    pairs = across(open_.where(F.col("n") <= HOT_MEMBERS) if refine else open_)
-    if refine and not open_.where(F.col("n") > HOT_MEMBERS).isEmpty():
-        finer = refine(open_.where(F.col("n") > HOT_MEMBERS).select("bucket", "item"))
-        pairs = pairs.unionAll(across(still_open(finer)))
-    links = staged(verify(pairs.distinct()), "links")
+    if finer:
+        open_ = still_open(finer(staged(open_.select("item").distinct(), "open-items")))
+    links = staged(verify(across(open_).distinct()), "links")
     return labels if links.isEmpty() else staged(merged(labels, links), "labels")

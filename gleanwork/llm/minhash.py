@@ -10,9 +10,9 @@ Equal sets are folded to one item before banding, so exact copies cost nothing f
 `components.linked` compares what is needed for the components; every link is confirmed on the full sets.
 
 A very frequent passage fills some buckets with documents that have little else in common. What is still open
-in a bucket of more than 64 members after the leader rounds is looked for by pairs of such bands: two sets at the
-threshold share two bands or more, or one outside such buckets, in all but about 8 of 100,000 cases. Nothing
-is capped, and pairs that two bands do not single out are compared.
+in a bucket after the leader rounds is met again under prefix keys: of a set of n shingles, sorted by how many open sets
+hold them, the n - ceil(0.75 n) + 1 rarest. Two sets at the threshold share one of these, whatever else they hold,
+so no link of a bucket is lost; and a passage that many sets share is in hardly any prefix.
 
 Defined results
 ---------------
@@ -155,9 +155,10 @@ def _signatures(options: tuple):
                 sets = hasher.sets(_texts(part))
                 keys = [hasher.keys(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index("id")), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column(part.schema.get_field_index("id")), part.column(part.schema.get_field_index("print")),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([set_digest(s) for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["id", "n_shingles", "digest", "keys"])
+                    ["id", "print", "n_shingles", "digest", "keys"])
 
     return run
 
@@ -181,9 +182,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
                     words: int = WORDS, bands: int = BANDS, rows: int = ROWS, seed: int = SEED) -> DataFrame:
     """One row per document: `key`, n_shingles, component_id, kept. `threshold` is in per cent."""
     options = (words, bands, rows, seed)
-    source = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    source = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("print"), F.col(f"`{text}`").alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    signed = source.mapInArrow(_signatures(options), f"id {id_type}, n_shingles bigint, digest binary, keys array<bigint>")
+    signed = source.mapInArrow(_signatures(options), f"id {id_type}, print bigint, n_shingles bigint, digest binary, keys array<bigint>")
     signed = staged(signed.withColumn("rid", F.monotonically_increasing_id()), "signatures")
 
     # Equal sets are one item, named by the smallest row number.
@@ -191,15 +192,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
         signed.where("digest is not null").groupBy("digest").agg(
             F.min("rid").alias("item"), F.min("id").alias("low_id"), F.max("n_shingles").alias("size")), "sets")
     members = signed.join(sets.select(F.col("item").alias("rid")), "rid").select(F.explode("keys").alias("bucket"), F.col("rid").alias("item"))
-    holder = signed.select(F.col("rid").alias("item"), F.col("id").alias("holder"), "digest")
+    holder = signed.select(F.col("rid").alias("item"), F.col("id").alias("holder"), F.col("print").alias("held"), "digest")
     table = f"shingles_{uuid.uuid4().hex}"
     spark = docs.sparkSession
 
     def prepare(items: DataFrame) -> None:
         """Write the shingle sets that may be compared, bucketed by item: joins by item move the pairs only."""
         wanted = items.join(holder, "item")
-        texts = source.join(wanted, source["id"].eqNullSafe(wanted["holder"])).select("item", "digest", "text")
-        # Rows may repeat an id: the digest tells which texts are meant, and one of them is enough.
+        # A row is told by id and text together, so rows that share an id, or have none, do not meet each other.
+        texts = source.join(wanted, (F.col("print") == F.col("held")) & F.col("id").eqNullSafe(F.col("holder"))).select("item", "digest", "text")
         built = texts.mapInArrow(_shingle_sets(options), "item bigint, shingles array<bigint>")
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         built.repartition(parts, "item").dropDuplicates(["item"]).write.bucketBy(parts, "item").option("compression", "zstd").option(
@@ -223,16 +224,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
             .select("a", "b")
         )
 
-    def refine(hot: DataFrame) -> DataFrame:
-        """Members of hot buckets by pairs of the hot buckets they are in."""
-        held = hot.groupBy("item").agg(F.array_sort(F.collect_set("bucket")).alias("keys"))
-        both = F.flatten(F.transform("keys", lambda x, i: F.transform(
-            F.slice(F.col("keys"), i + 2, F.size("keys")), lambda y: F.xxhash64(x, y))))
-        return held.select(F.explode(both).alias("bucket"), "item")
-
-    labels = linked(members, verify, refine, prepare)
+    def prefixes(items: DataFrame) -> DataFrame:
+        """(bucket, item): the rarest shingles of each set, as many as any link must share one of."""
+        open_sets = spark.table(table).join(items, "item", "left_semi")
+        rows = open_sets.select("item", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+        held = rows.groupBy("shingle").agg(F.count("*").alias("n_sets")).where("n_sets > 1")
+        common = rows.join(held, "shingle").groupBy("item").agg(
+            F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("n_sets", "shingle"))).alias("common"))
+        # Shingles of a single set come first in the order and meet nothing.
+        least = F.ceil(F.col("n") * threshold / 100).cast("int")
+        wanted = F.greatest(F.col("n") - least + 1 - (F.col("n") - F.size("common")), F.lit(0))
+        return common.select(F.explode(F.slice("common", F.lit(1), wanted)).alias("key"), "item").select(F.col("key.shingle").alias("bucket"), "item")
+
+    labels = linked(members, verify, prefixes, prepare)
     known = sets.join(labels, "item", "left").select("digest", F.coalesce("label", "item").alias("label"), "low_id")
     known = staged(known, "known")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     lowest = known.groupBy("label").agg(F.min("low_id").alias("component_id"))
     named = known.join(lowest, "label").select("digest", "component_id")
     # Rows without a set have a null digest, match nothing and stay alone.

@@ -89,7 +89,7 @@ class ByteEncoder:
         begins = np.zeros(size, bool)
         begins[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(BLANK)]] = True
         self.begins = begins
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -127,18 +127,17 @@ class ByteEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         if len(self.known) >= MEMO_WORDS:
-            self.known.clear()
+            self.known = {"": b""}
         whole = [i for i, t in enumerate(texts) if self.special and self.special.search(t)]
         split = [_fast_pieces(t) if t else [] for t in texts]
         for i in whole:  # the library parts such a text at its special tokens first
             split[i] = []
         flat = list(chain.from_iterable(split))
         ids = list(map(self.known.get, flat))
-        new = {w for w, known in zip(flat, ids) if known is None and w}
+        new = {w for w, known in zip(flat, ids) if known is None}
         if new:
             self._add(list(new))
-            known = self.known.get
-            ids = [known(w, b"") if x is None else x for w, x in zip(flat, ids)]
+            ids = [self.known[w] if x is None else x for w, x in zip(flat, ids)]
         out, at = [], 0
         for pieces_ in split:
             out.append(b"".join(ids[at : at + len(pieces_)]))
