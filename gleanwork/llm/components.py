@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.session import staged
@@ -62,15 +62,16 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], finer: Callable[[DataFrame], DataFrame] | None = None,
-           prepare: Callable[[DataFrame], None] | None = None) -> DataFrame:
+           may_link: Callable[[str, str], Column] | None = None, prepare: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """(item, label) of the components that `verify` finds inside buckets.
 
     `members` has (bucket, item), both longs; `verify` takes distinct pairs (a, b), a < b, and returns those
     that are links. The labels are those of all links inside buckets, although not every link is looked
     at: pairs that are already in one component need no look. `prepare` is called once with the items that
     may be asked about. What is open after the leader rounds is handed to `finer` as a table of items, which gives
-    members (bucket, item) under keys that any two linked items of the table share; then pairs of different
-    components that share a key are looked at. Without `finer` all open pairs of a bucket are.
+    members (bucket, item, and what `may_link` needs) under keys that any two linked items of the table share; then pairs of
+    different components that share a key are looked at, where `may_link` of the two rows (given the prefixes of their
+    columns) holds; it must hold for one key of every link. Without `finer` all open pairs of a bucket are looked at.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("item").alias("low"), F.max("item").alias("high"))
     sizes = sizes.where("low <> high")
@@ -110,6 +111,15 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], finer:
     if open_.isEmpty():
         return labels
     if finer:
-        open_ = still_open(finer(staged(open_.select("item").distinct(), "open-items")))
-    links = staged(verify(across(open_).distinct()), "links")
+        keyed = finer(staged(open_.select("item").distinct(), "open-items"))
+        rows = staged(keyed.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item")), "keyed")
+        mixed = rows.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("bucket")
+        rows = rows.join(mixed, "bucket", "left_semi")
+        left, right = (rows.select("bucket", *[F.col(c).alias(s + c) for c in rows.columns if c != "bucket"]) for s in ("a_", "b_"))
+        met = left.join(right, "bucket").where(F.expr("a_item < b_item and a_label <> b_label"))
+        pairs = (met.where(may_link("a_", "b_")) if may_link else met).select(F.col("a_item").alias("a"), F.col("b_item").alias("b"))
+    else:
+        pairs = across(open_)
+    pairs = staged(pairs.distinct(), "pairs")
+    links = staged(verify(pairs), "links")
     return labels if links.isEmpty() else staged(merged(labels, links), "labels")

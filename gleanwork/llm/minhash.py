@@ -12,7 +12,8 @@ Equal sets are folded to one item before banding, so exact copies cost nothing f
 A very frequent passage fills some buckets with documents that have little else in common. What is still open
 in a bucket after the leader rounds is met again under prefix keys: of a set of n shingles, sorted by how many open sets
 hold them, the n - ceil(0.75 n) + 1 rarest. Two sets at the threshold share one of these, whatever else they hold,
-so no link of a bucket is lost; and a passage that many sets share is in hardly any prefix.
+so no link of a bucket is lost; and a passage that many sets share is in hardly any prefix. Where it is, the places of the shared
+shingle in both orders bound what the sets can share, and pairs that cannot reach the threshold are not made.
 
 Defined results
 ---------------
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwork.llm.components import linked
@@ -225,7 +226,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
         )
 
     def prefixes(items: DataFrame) -> DataFrame:
-        """(bucket, item): the rarest shingles of each set, as many as any link must share one of."""
+        """(bucket, item, size, behind): the rarest shingles of each set, as many as any link must share one of.
+
+        `behind` counts the shingles of the set from this one on, in the common order.
+        """
         open_sets = spark.table(table).join(items, "item", "left_semi")
         rows = open_sets.select("item", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
         held = rows.groupBy("shingle").agg(F.count("*").alias("n_sets")).where("n_sets > 1")
@@ -234,9 +238,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
         # Shingles of a single set come first in the order and meet nothing.
         least = F.ceil(F.col("n") * threshold / 100).cast("int")
         wanted = F.greatest(F.col("n") - least + 1 - (F.col("n") - F.size("common")), F.lit(0))
-        return common.select(F.explode(F.slice("common", F.lit(1), wanted)).alias("key"), "item").select(F.col("key.shingle").alias("bucket"), "item")
+        placed = common.select("item", F.col("n").alias("size"), F.size("common").alias("shared"), F.posexplode(F.slice("common", F.lit(1), wanted)).alias("place", "key"))
+        return placed.select(F.col("key.shingle").alias("bucket"), "item", "size", (F.col("shared") - F.col("place")).alias("behind"))
+
+    def may_link(a: str, b: str) -> Column:
+        """Of a link's shared shingles one is the first in the order: all that two sets share stands from there on."""
+        most = F.least(F.col(f"{a}behind"), F.col(f"{b}behind"))
+        return most * (100 + threshold) >= (F.col(f"{a}size") + F.col(f"{b}size")) * threshold
 
-    labels = linked(members, verify, prefixes, prepare)
+    labels = linked(members, verify, prefixes, may_link, prepare)
     known = sets.join(labels, "item", "left").select("digest", F.coalesce("label", "item").alias("label"), "low_id")
     known = staged(known, "known")
     spark.sql(f"DROP TABLE IF EXISTS {table}")

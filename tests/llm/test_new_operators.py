@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleanwork.llm import fill_in_middle, html_extract, periodic_runs, queries
+from gleanwork.llm import components, fill_in_middle, html_extract, minhash, periodic_runs, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -211,3 +211,66 @@ def test_a_cut_does_not_depend_on_the_texts_beside_it():
     for k, t in enumerate(texts):
         alone = fill_in_middle.cut([t.encode()], draws[0][k : k + 1], draws[1][k : k + 1])
         assert [x[k] for x in whole] == [x[0] for x in alone]
+
+
+# -- near duplicates in one hot bucket ------------------------------------------------------------
+
+
+def brute_components(texts):
+    """Smallest id reachable over pairs of whole shingle sets with a Jaccard of 0.75 or more."""
+    sets = {}
+    for i, text in texts.items():
+        words = text.lower().split()
+        sets[i] = {" ".join(words[k : k + 5]) for k in range(len(words) - 4)}
+    label = {i: i for i in texts}
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    ids = sorted(texts)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1 :]:
+            common = len(sets[i] & sets[j])
+            if 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
+                a, b = sorted((find(i), find(j)))
+                label[b] = a
+    return {i: find(i) for i in ids}
+
+
+def passage_rows(n_groups):
+    """Pairs of near copies that all hold one passage, so that bands of all of them fall together."""
+    dice = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(50))
+    texts = {}
+    for g in range(n_groups):
+        own = [f"g{g}w{dice.randrange(10**6)}" for _ in range(dice.randint(8, 30))]
+        texts[2 * g] = " ".join(own) + " " + passage
+        texts[2 * g + 1] = " ".join(own[: len(own) - dice.randint(0, 4)]) + " " + passage
+    return texts
+
+
+def test_a_hot_passage_hides_no_link(spark):
+    texts = passage_rows(90)
+    docs = frame(spark, list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    want = brute_components(texts)
+    assert got == want and len(set(want.values())) > 40
+
+
+def test_one_bucket_of_many_members_is_searched_whole(spark):
+    """75 links among 150 members of a single bucket, through the keys that `near_duplicates` uses."""
+    members = frame(spark, [(1, i) for i in range(150)], "bucket bigint, item bigint")
+    verify = lambda pairs: pairs.where("a % 75 = b % 75")
+    finer = lambda items: items.select((F.col("item") % 75).alias("bucket"), "item")
+    labels = {r.item: r.label for r in components.linked(members, verify, finer).collect()}
+    assert labels == {i: i % 75 for i in range(150)}
+
+
+def test_rows_without_an_id_do_not_meet_each_other(spark):
+    texts = passage_rows(10)
+    rows = [(None, t) for t in texts.values()] + [(7, t) for t in texts.values()]
+    got = minhash.near_duplicates(frame(spark, rows, "doc_id bigint, text string")).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got} == {7}
+    assert spark.sql("SHOW TABLES").where("tableName like 'shingles_%'").count() == 0
