@@ -327,6 +327,24 @@ def test_banded_edit_distance(distance):
     assert line_dedup.within(*codes, distance).tolist() == [edits(a, b) <= distance for a, b in zip(left, right)]
 
 
+@pytest.mark.parametrize("distance", [1, 2, 3])
+def test_copies_share_a_key_and_pass_the_sketch(distance):
+    rng = random.Random(40 + distance)
+    left = ["".join(rng.choice("abcdé 😀") for _ in range(rng.randint(distance + 1, 40))) for _ in range(600)]
+    right = [changed(rng, x, distance, "abcdé 😀") for x in left]
+    pairs = [(x, y) for x, y in zip(left, right) if min(len(x), len(y)) > distance and edits(x, y) <= distance]
+    sketch, keys = line_dedup.sign([x for pair in pairs for x in pair], distance, 0)
+    alone = [line_dedup.sign([x], distance, 0) for pair in pairs[:50] for x in pair]
+    assert [int(s[0]) for s, _ in alone] == sketch[:100].tolist() and [k[0].tolist() for _, k in alone] == keys[:100].tolist()
+    mask = 2**64 - 1
+    for i in range(0, len(sketch), 2):
+        own = [set(keys[j, : distance + 1].tolist()) - {0} for j in (i, i + 1)]
+        every = [set(keys[j].tolist()) - {0} for j in (i, i + 1)]
+        assert own[0] & every[1] or own[1] & every[0]
+        apart = (int(sketch[i]) ^ int(sketch[i + 1])) & mask
+        assert (apart >> 32).bit_count() <= 2 * distance and (apart & 0xFFFFFFFF).bit_count() <= 4 * distance
+
+
 def test_line_dedup(spark):
     rng = random.Random(9)
     base = [prose(rng, 8) for _ in range(12)]
