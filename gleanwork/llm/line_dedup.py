@@ -10,7 +10,9 @@ distance inside a band of 2 * distance + 1 diagonals, many pairs at once.
 Lines that share a segment are mostly no copies. Every key carries a sketch of its whole line, parities of
 characters and of neighbouring characters, of which an edit turns a few only; the join under a key lets a
 pair through only when its sketches leave room for the distance. Keys and sketches are made in one pass
-over the text, which is not shuffled: only lines that pass are fetched and verified.
+over the text. Only lines that pass are fetched and verified: a filter of at most `FILTER_WORDS` broadcast words
+keeps nearly all others out of the shuffle as long as fewer lines are asked for than it has bits; beyond that
+it lets more of them through, and nothing is lost.
 
 Equal lines are folded first, with map-side combining, so a line that a third of the corpus repeats is one
 row and stands for its class. Every pair of classes that may be within the distance is verified, so that
@@ -44,6 +46,8 @@ MIN_CHARS = 20
 BLOCK_CELLS = 1 << 22
 # Characters signed together.
 BLOCK_CHARS = 1 << 20
+# Words of 64 bits in the filter of the lines to fetch, two bits a line.
+FILTER_WORDS = 1 << 18
 WORD = r"[^\x20\x09-\x0D]"
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it can be divided by
 _SPREAD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
@@ -248,6 +252,14 @@ def _distinct(lines: DataFrame, distance: int, min_chars: int) -> DataFrame:
     return folded.withColumn("item", F.monotonically_increasing_id())
 
 
+def _maybe_asked(lines: DataFrame, asked: DataFrame) -> DataFrame:
+    """Of `lines` those whose h1, h2 are among `asked`, and few others."""
+    word = F.pmod("h1", F.lit(FILTER_WORDS)).alias("word")
+    bits = F.expr("shiftleft(1L, CAST(h2 & 63 AS INT)) | shiftleft(1L, CAST(shiftrightunsigned(h2, 6) & 63 AS INT))")
+    words = asked.groupBy(word).agg(F.bit_or(bits).alias("held"))
+    return lines.withColumn("word", word).join(F.broadcast(words), "word").where((F.col("held").bitwiseAND(bits)) == bits).drop("word", "held")
+
+
 def _links(lines: DataFrame, distinct: DataFrame, distance: int) -> DataFrame:
     """(a, b), a < b, of all `distinct` lines within the distance."""
     met = distinct.select("item", "sketch", F.posexplode("keys").alias("k", "bucket")).where("bucket <> 0")
@@ -259,7 +271,7 @@ def _links(lines: DataFrame, distinct: DataFrame, distance: int) -> DataFrame:
     asked = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
     asked = staged(distinct.select("item", "h1", "h2").join(asked, "item"), "asked")
     # A line that many documents repeat is folded again before its text moves.
-    texts = lines.select(*_prints(), "line").join(asked, ["h1", "h2"]).groupBy("item").agg(F.first("line").alias("line"))
+    texts = _maybe_asked(lines.select(*_prints(), "line"), asked).join(asked, ["h1", "h2"]).groupBy("item").agg(F.first("line").alias("line"))
     texts = staged(texts, "texts")
     both = pairs.join(texts.select(F.col("item").alias("a"), F.col("line").alias("x")), "a").join(
         texts.select(F.col("item").alias("b"), F.col("line").alias("y")), "b")
