@@ -13,20 +13,23 @@ Defined results
 ---------------
 * A message without a role, or with an unknown one, is kept and reported as `bad_role`.
 * A call without an id cannot be answered; a call id used twice in a conversation answers with its first call
-  (smallest turn) and reports the others as `repeated_call`. Of several results for a call all are linked.
+  (smallest turn, ties as below) and reports the others as `repeated_call`. Of several results for a call all are linked.
 * A result without a call is an `orphan_result`; a call without a result is `unanswered`.
-* Arguments that are no JSON object, lack a required name, have a wrong type or an unknown name are
-  `bad_arguments`; a tool without a schema is `unknown_tool`. Null arguments are an empty object.
+* Arguments that are no JSON object, lack a required name, have an unknown name or break a rule of the schema (type,
+  enum, bounds, lengths, items, nested properties) are `bad_arguments`, and so are numbers beyond the range of
+  doubles, half surrogates and nesting too deep to be written; a tool without a schema is `unknown_tool`. Null
+  arguments are an empty object.
 * Items in a circle of dependencies, or depending on an unknown call, are reported as `circular` or
   `unknown_dependency` and ordered by turn.
-* Null texts are empty, null conversation ids are one conversation, repeated rows stay. Equal turns are
-  ordered by role and text. An empty table gives an empty result; further columns are ignored.
+* Null texts are empty, null conversation ids are one conversation, repeated rows stay. Null turns come first.
+  Equal turns are ordered by kind, role and text. An unknown kind is a message. An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import math
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -37,28 +40,52 @@ ROLES = ("system", "user", "assistant", "tool")
 # JSON schema type names and the Python types of parsed JSON.
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
+# Brackets from which on a text is tried for nesting too deep to be written again.
+DEEP = 100
+
+
+def _is(value: object, name: str) -> bool:
+    """Whether a parsed value has the JSON type of that name; unknown names are any type."""
+    if isinstance(value, bool):
+        return name == "boolean" or name not in TYPES
+    return isinstance(value, TYPES.get(name, object))
+
+
+def fits(value: object, rule: object) -> bool:
+    """Whether a value keeps a schema. As in JSON Schema, a bound speaks about values of its own type only."""
+    if not isinstance(rule, Mapping):
+        return rule is not False
+    names = rule.get("type", ())
+    names = [names] if isinstance(names, str) else names
+    if names and not any(_is(value, n) for n in names):
+        return False
+    if "enum" in rule and canonical(value) not in map(canonical, rule["enum"]):
+        return False
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return rule.get("minimum", value) <= value <= rule.get("maximum", value)
+    if isinstance(value, str):
+        return rule.get("minLength", 0) <= len(value) <= rule.get("maxLength", len(value))
+    if isinstance(value, list):
+        return all(fits(x, rule.get("items", True)) for x in value)
+    if isinstance(value, dict):
+        known, more = rule.get("properties", {}), rule.get("additionalProperties", True)
+        return all(n in value for n in rule.get("required", ())) and all(fits(x, known.get(n, more)) for n, x in value.items())
+    return True
+
+
 def check_arguments(arguments: str | None, schema: Mapping | None) -> tuple[object, str | None]:
-    """(parsed arguments, what is wrong with them)."""
+    """(parsed arguments, what is wrong with them). Arguments that cannot be written as JSON again stay text."""
     try:
-        value = json.loads(arguments, parse_constant=_refuse) if arguments is not None else {}
-    except ValueError:
+        value = json.loads(arguments, parse_constant=_refuse, parse_float=_finite) if arguments is not None else {}
+        if arguments and ("\\u" in arguments or arguments.count("[") + arguments.count("{") > DEEP):
+            canonical(value).encode()  # half surrogates, and nesting beyond what can be written
+    except (ValueError, RecursionError):
         return arguments, "bad_arguments"
     if schema is None:
         return value, "unknown_tool"
-    if not isinstance(value, dict):
-        return value, "bad_arguments"
-    known = schema.get("properties", {})
-    if any(name not in value for name in schema.get("required", ())) or any(name not in known for name in value):
+    # A call's own arguments are named in the schema, all of them.
+    if not isinstance(value, dict) or not fits(value, {**schema, "additionalProperties": False}):
         return value, "bad_arguments"
-    for name, held in value.items():
-        rule = known[name]
-        wanted = TYPES.get(rule.get("type"), object)
-        if not isinstance(held, wanted) or (isinstance(held, bool) and rule.get("type") in ("integer", "number")):
-            return value, "bad_arguments"
-        if "enum" in rule and held not in rule["enum"]:
-            return value, "bad_arguments"
-        if "minimum" in rule and held < rule["minimum"] or "minLength" in rule and len(held) < rule["minLength"]:
-            return value, "bad_arguments"
     return value, None
 
 
@@ -66,6 +93,13 @@ def _refuse(constant: str) -> object:
     raise ValueError(f"{constant} is not JSON")
 
 
+def _finite(number: str) -> float:
+    value = float(number)
+    if math.isinf(value):
+        raise ValueError(f"{number} is too large")
+    return value
+
+
 def canonical(value: object) -> str:
     return json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"), allow_nan=False)
 
@@ -122,13 +156,13 @@ def format_conversation(items: list[dict], schemas: Mapping[str, Mapping]) -> tu
             value, wrong = check_arguments(x["arguments"], schemas.get(x["name"]))
             if wrong:
                 fault(wrong)
-            if x["nth"] and x["nth"] > 1:
+            if x["call_id"] is not None and first[x["call_id"]] != i:
                 fault("repeated_call")
             elif not x["n_results"]:
                 fault("unanswered")
             shown = {"role": "assistant", "tool_call": {"id": x["call_id"], "name": x["name"], "arguments": value}}
         elif x["kind"] == "result":
-            if x["call_turn"] is None:
+            if not x["has_call"]:
                 fault("orphan_result")
             shown = {"role": "tool", "tool_call_id": x["call_id"], "content": x["text"] or ""}
         else:
@@ -154,32 +188,29 @@ def _format(schemas: Mapping[str, Mapping], id_type: pa.DataType):
 
 
 def link(items: DataFrame) -> DataFrame:
-    """Items with call_turn (of the call a result names), n_results (of a call) and nth (use of a call id).
+    """Items with has_call (whether a result's call is there) and n_results (of a call).
 
     `items` has conv, turn, kind ('message', 'call' or 'result'), role, text, call_id, name, arguments, after.
     """
-    plain = items.where("kind = 'message' or call_id is null").select(
-        *items.columns, F.lit(None).cast("bigint").alias("call_turn"), F.lit(0).cast("bigint").alias("n_results"), F.lit(1).cast("bigint").alias("nth"))
+    none, no = F.lit(0).cast("bigint").alias("n_results"), F.lit(False).alias("has_call")
+    plain = items.where("kind not in ('call', 'result') or kind is null or call_id is null").select(*items.columns, no, none)
     called = items.where("kind = 'call' and call_id is not null")
     answered = items.where("kind = 'result' and call_id is not null")
     # One row per call id and per result id: the joins have a unique side, so a hot id stays linear.
-    firsts = called.groupBy("conv", "call_id").agg(F.min("turn").alias("call_turn"), F.count("*").alias("n_calls"))
-    counts = answered.groupBy("conv", "call_id").agg(F.count("*").alias("n_results"))
-    firsts = firsts.select(F.col("conv").alias("c"), F.col("call_id").alias("k"), "call_turn")
-    counts = counts.select(F.col("conv").alias("c"), F.col("call_id").alias("k"), "n_results")
+    ids = called.groupBy("conv", "call_id").agg(F.lit(True).alias("found"))
+    counts = answered.groupBy("conv", "call_id").agg(F.count("*").alias("found"))
+    ids, counts = (x.select(F.col("conv").alias("c"), F.col("call_id").alias("k"), "found") for x in (ids, counts))
     same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("k"))
-    results = answered.join(firsts, same, "left").select(*items.columns, "call_turn", F.lit(0).cast("bigint").alias("n_results"), F.lit(1).cast("bigint").alias("nth"))
-    calls = called.join(counts, same, "left").drop("c", "k").join(firsts, same).select(
-        *items.columns, F.lit(None).cast("bigint").alias("call_turn"), F.coalesce("n_results", F.lit(0)).alias("n_results"),
-        F.when(F.col("turn") == F.col("call_turn"), 1).otherwise(2).cast("bigint").alias("nth"))
+    results = answered.join(ids, same, "left").select(*items.columns, F.coalesce("found", F.lit(False)).alias("has_call"), none)
+    calls = called.join(counts, same, "left").select(*items.columns, no, F.coalesce("found", F.lit(0)).alias("n_results"))
     return plain.unionAll(results).unionAll(calls)
 
 
 def format_chats(items: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
-    """One row per conversation: conv, n_items, chat (canonical JSON), faults (map of counts)."""
-    linked_items = link(items)
-    order = ("turn", "kind", "role", "text", "call_id", "name", "arguments", "after", "call_turn", "n_results", "nth")
-    packed = linked_items.select("conv", F.struct(*order).alias("item"))
+    """One row per conversation: conv, chat (canonical JSON), faults (map of counts)."""
+    columns = ("turn", "kind", "role", "text", "call_id", "name", "arguments", "after")
+    linked_items = link(items.select("conv", *columns))
+    packed = linked_items.select("conv", F.struct(*columns, "has_call", "n_results").alias("item"))
     grouped = packed.groupBy("conv").agg(F.array_sort(F.collect_list("item")).alias("items"))
     kind = items.schema["conv"].dataType
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]

@@ -35,16 +35,28 @@ CALL_SCHEMAS = {"answer": {
 
 
 def call_items(conversations: DataFrame) -> DataFrame:
-    """Conversations as tool use: a user's turn calls `answer`, the assistant's next turn is the result."""
-    turn, conv = F.col("turn"), F.col("conv_id").cast("string")
+    """Conversations as tool use: a user's turn calls `answer`, the assistant's next turn is the result.
+
+    Seven sixteenths of the calls, told by the hash of conversation and turn, are faulty: torn arguments (0), a turn of the
+    wrong type (1), an unknown tool (2), the id of an earlier call (3), a dependency on itself (5), on no call (6), or on a later
+    call that depends on it (7). A sixteenth of the results (4) names a call that is not there.
+    """
+    turn, conv, body = F.col("turn"), F.col("conv_id").cast("string"), F.coalesce("text", F.lit("")).alias("question")
     user, assistant = F.col("role") == "user", F.col("role") == "assistant"
-    call_id = F.when(user, F.concat_ws("-", conv, turn.cast("string"))).when(assistant, F.concat_ws("-", conv, (turn - 1).cast("string")))
+    odd = F.expr("crc32(concat_ws('-', conv_id, turn)) % 16")
+
+    def of(by: int) -> Column:
+        return F.concat_ws("-", conv, (turn + by).cast("string"))
+
+    call_id = F.when(user & (turn >= 2) & (odd == 3), of(-2)).when(user, of(0)).when(assistant & (odd == 4), F.concat(of(0), F.lit("-lost"))).when(assistant, of(-1))
+    arguments = F.when(odd == 0, '{"question":').when(odd == 1, F.to_json(F.struct(body, turn.cast("string").alias("turn")))).otherwise(
+        F.to_json(F.struct(body, turn.alias("turn"))))
+    after = F.when(odd == 5, F.array(of(0))).when(odd == 6, F.array(F.concat(conv, F.lit("-none")))).when(odd == 7, F.array(of(2))).when(turn >= 2, F.array(of(-2)))
     return conversations.select(
         F.col("conv_id").alias("conv"), "turn",
         F.when(user, "call").when(assistant, "result").otherwise("message").alias("kind"), "role", "text", call_id.alias("call_id"),
-        F.when(user, "answer").alias("name"),
-        F.when(user, F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("question"), turn.alias("turn")))).alias("arguments"),
-        F.when(user & (turn >= 2), F.array(F.concat_ws("-", conv, (turn - 2).cast("string")))).alias("after"),
+        F.when(user & (odd == 2), "search").when(user, "answer").alias("name"), F.when(user, arguments).alias("arguments"),
+        F.when(user, after).alias("after"),
     )
 
 
