@@ -163,10 +163,11 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
                 weights: Sequence[float] = WEIGHTS, max_copies: int = MAX_COPIES, seed: str = "mix",
                 chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One row per document: `key`, size, source_size, target (of its source), copies, taken."""
-    narrow = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"))
-    # Equal (id, source, size) rows are numbered, so that a row's number does not depend on partitions.
-    twin = F.row_number().over(Window.partitionBy("id", "source", "size").orderBy(F.lit(1)))
-    rows = staged(narrow.withColumn("twin", twin).withColumn("rid", F.xxhash64("id", "source", "size", "twin")), "sizes")
+    narrow = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"),
+                         F.xxhash64(F.col(f"`{text}`")).alias("print"))
+    # Rows alike in id, source and text are numbered, so that a row's number does not depend on partitions.
+    twin = F.row_number().over(Window.partitionBy("id", "source", "print").orderBy("size"))
+    rows = staged(narrow.withColumn("twin", twin).withColumn("rid", F.xxhash64("id", "source", "print", "twin")), "sizes")
     grouped = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.when(F.col("size") > 0, 1)).alias("group_rows"))
     targets = source_targets(grouped.select("source", "source_size"), weights, max_copies)
     per_source = staged(
@@ -181,16 +182,18 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     extra = dependent_rounding(loose, seed, chunk_rows)
     copies = F.when(F.col("size") > 0, F.floor("f") + F.coalesce("extra", F.lit(0))).otherwise(0).cast("long")
     return full.join(extra, "rid", "left").select(
-        F.col("id").alias(key), "source", "twin", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+        F.col("id").alias(key), "source", "print", "twin", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mixed rows: each document as often as it is taken, with all its columns."""
     verdict = mix_sources(docs, key, text, source, **options).where("copies > 0").select(
-        F.col(f"`{key}`").alias("id"), F.col("source").alias("of"), F.col("size").alias("words"), "twin", "copies")
+        F.col(f"`{key}`").alias("id"), F.col("source").alias("of"), F.col("print").alias("of_text"), "twin", "copies")
+    # Rows alike in all columns may change places, others not.
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
     numbered = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{key}`").alias("k"),
-        F.col(f"`{source}`").alias("s"), word_count(F.col(f"`{text}`")).alias("w"),
-    ).withColumn("t", F.row_number().over(Window.partitionBy("k", "s", "w").orderBy(F.lit(1))))
-    same = F.col("k").eqNullSafe(F.col("id")) & F.col("s").eqNullSafe(F.col("of")) & (F.col("w") == F.col("words")) & (F.col("t") == F.col("twin"))
+        F.col(f"`{source}`").alias("s"), F.xxhash64(F.col(f"`{text}`")).alias("p"), whole.alias("w"),
+    ).withColumn("t", F.row_number().over(Window.partitionBy("k", "s", "p").orderBy("w")))
+    same = F.col("k").eqNullSafe(F.col("id")) & F.col("s").eqNullSafe(F.col("of")) & (F.col("p") == F.col("of_text")) & (F.col("t") == F.col("twin"))
     return numbered.join(verdict, same).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")

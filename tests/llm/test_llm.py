@@ -197,6 +197,15 @@ def test_mixing(spark, corpus):
     assert mixing.mix_sources(docs_of(spark, [])).count() == 0
 
 
+def test_mixing_tells_rows_of_one_id_by_their_text(spark):
+    rng = random.Random(77)
+    rows = [(rng.choice([None, 1, 2]), " ".join(rng.choice("abcdefgh") for _ in range(3)), f"s{i % 3}") for i in range(300)]
+    one, two = (docs_of(spark, x) for x in (rows, rng.sample(rows, len(rows))))
+    verdicts = [Counter(map(tuple, mixing.mix_sources(x, chunk_rows=16).collect())) for x in (one, two.repartition(5))]
+    texts = [Counter((r.doc_id, r.text, r.source) for r in mixing.mix_documents(x, chunk_rows=16).collect()) for x in (one, two.repartition(5))]
+    assert verdicts[0] == verdicts[1] and texts[0] == texts[1]
+
+
 def test_pivot_keeps_words_and_expectations():
     sums = np.zeros(2)
     for i in range(4000):
