@@ -21,7 +21,8 @@ the links of a line can be counted: n different lines that are all copies of eac
 Defined results
 ---------------
 * Lines are split at line feeds. Lines without a word are never dropped and never counted as copies. Lines
-  shorter than `min_chars` are copies only when equal; longer ones when within `distance` edits.
+  shorter than `min_chars` are copies only when equal (two edits make many words of one another); longer ones
+  when within `distance` edits.
 * Of each group of linked lines the first stays: the smallest (document id, line number). Null ids come last.
 * Null and empty texts have no lines. Lines of any length are compared whole, by code points.
 * Rows that repeat an id are told apart by their text; rows that repeat id and text are the same document,

@@ -6,8 +6,9 @@ nothing passes wrongly. The key universe is every host of the table, so for any
 that denies a key decides: no false answer and no join of the rows. Filters are built by grouped
 aggregation (bit positions folded with bit_or) and reach the rows as one array value per level.
 
-All levels together take about 16 bits per listed key. `MAX_KEYS` bounds that (64 MB); a longer list is
-answered by an equi-join on the key instead, with the same results.
+Level 0 takes 9 bits per listed key, level 1 as many per unlisted key that passes level 0 (a 64th of them), later
+levels a 64th of the level two before. `MAX_KEYS` bounds level 0; a longer list is answered by an equi-join on the
+key instead, with the same results. Level 1 grows with the number of distinct unlisted hosts and has no bound of its own.
 
 Defined results
 ---------------
