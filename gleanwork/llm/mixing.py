@@ -17,7 +17,7 @@ Defined results
   take no part in the rounding.
 * Sources are ordered by code point, null last, and weigh `weights`, repeating. Targets are their shares of
   all words, at most `max_copies` times a source's size; what is above is shared out again by weight.
-* Which documents are taken depends on id, source and size alone, through salted hashes: reruns agree,
+* Which documents are taken depends on id, source and text alone, through salted hashes: reruns agree,
   whatever the partitions. Rows that repeat an id are told apart by their text; rows alike in both are numbered.
 * A null id is an id like any other. Empty tables give empty results. Further columns are kept by
   `mix_documents`, which repeats rows, and ignored by `mix_sources`.
