@@ -1,7 +1,8 @@
 """Line-first quality rules, in DataFrame functions only.
 
-Every line is judged alone: punctuation (a line whose words carry symbols, or most of whose words shout),
-navigation (a menu: bars or arrows between short labels) and boilerplate (notices every site repeats).
+Every line is judged alone: punctuation (words carry symbols, marks come in runs, nothing but marks, or more
+than half of five words or more are capitals), navigation (a menu: bars or arrows between short labels) and
+boilerplate (notices every site repeats).
 Failing lines are removed. A document is rejected when too much of its text went with them, when it is
 too short, or when it mostly repeats itself.
 
@@ -30,6 +31,10 @@ from pyspark.sql import functions as F
 # The white space that separates words, and the symbols that are counted.
 SPACES = r"\x20\x09-\x0D"
 SYMBOLS = "[#*$%&|<>]"
+# Marks repeated three times or more, words of two capitals or more without a small letter, separators of menus.
+RUNS = "[!?.]{3,}"
+LOUD = rf"(?<![^{SPACES}])[^{SPACES}\p{{Ll}}]*\p{{Lu}}[^{SPACES}\p{{Ll}}]*\p{{Lu}}[^{SPACES}\p{{Ll}}]*(?![^{SPACES}])"
+SEPARATOR = "[|»›•→]"
 # Phrases of notices that many pages repeat (lower case).
 BOILERPLATE = (
     "all rights reserved",
@@ -52,6 +57,8 @@ MAX_REPEATED = 0.5  # share of words inside a window of three that occurs again
 MAX_LOST = 0.3  # share of word characters that may go with failing lines
 WORDS_FOR_SYMBOLS = 4  # a line with one symbol or more for each so many words fails
 WORDS_FOR_SHOUTING = 5  # shorter lines may be in capitals
+CHARS_FOR_RUNS = 4  # a line fails when runs of marks are a fourth of its characters or more
+WORDS_IN_LABEL = 4  # a menu's labels have so many words on average at most
 BOILERPLATE_CHARS = 300  # a longer line is prose that mentions such a phrase
 
 
@@ -92,17 +99,26 @@ def repeated_words(tokens: Column) -> Column:
 
 
 def bad_punctuation(line: Column) -> Column:
-    """Symbols hang on the words, or the line shouts. Words are counted for suspicious lines only."""
+    """Symbols hang on the words, marks come in runs, nothing but marks, or most words are capitals.
+
+    Each rule looks for its sign first and counts on the few lines that have it.
+    """
     n_words = F.regexp_count(line, F.lit(f"[^{SPACES}]+"))
     n_symbols = F.regexp_count(line, F.lit(SYMBOLS))
     symbols = line.rlike(SYMBOLS) & (n_symbols * WORDS_FOR_SYMBOLS >= n_words)
-    shouts = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}") & (n_words >= WORDS_FOR_SHOUTING)
-    return symbols | shouts
+    run_chars = F.length(line) - F.length(F.regexp_replace(line, RUNS, ""))
+    runs = line.rlike(RUNS) & (run_chars * CHARS_FOR_RUNS >= F.length(F.regexp_replace(line, f"[{SPACES}]", "")))
+    bare = line.rlike(f"[^{SPACES}]") & ~line.rlike(r"[\p{L}\p{N}]")
+    loud = F.regexp_count(line, F.lit(LOUD))
+    shouts = line.rlike(LOUD) & (n_words >= WORDS_FOR_SHOUTING) & (2 * loud > n_words)
+    return symbols | runs | bare | shouts
 
 
 def is_navigation(line: Column) -> Column:
-    """Labels between bars or arrows, three separators or more."""
-    return line.rlike("[|»›•→]") & (F.regexp_count(line, F.lit(f"(^|[{SPACES}])[|»›•→]([{SPACES}]|$)")) >= 3)
+    """A menu: three separators or more, with or without blanks around, between labels of a few words."""
+    bars = F.regexp_count(line, F.lit(SEPARATOR))
+    words = F.regexp_count(line, F.lit(rf"[^{SPACES}|»›•→]+"))
+    return line.rlike(SEPARATOR) & (bars >= 3) & (words <= WORDS_IN_LABEL * (bars + 1))
 
 
 def is_boilerplate(line: Column) -> Column:
@@ -123,6 +139,18 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
     An existing column of that name is replaced.
     """
+    return docs.withColumn("quality", _judged(text))
+
+
+def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of `quality_rules` that are kept.
+
+    Rejected rows leave as empty arrays and not by a filter, which would work the verdict out a second time.
+    """
+    return docs.withColumn("quality", F.explode(F.filter(F.array(_judged(text)), lambda q: q["kept"])))
+
+
+def _judged(text: str) -> Column:
     body = F.col(f"`{text}`")
 
     def judged(w: Column) -> Column:
@@ -137,10 +165,9 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def by_line(lines: Column) -> Column:
         filled = F.filter(lines, lambda line: line.rlike(f"[^{SPACES}]"))
-        removed = F.filter(lines, failing)
 
-        def cleaned(gone: Column) -> Column:
-            left = F.array_join(F.filter(lines, lambda line: ~failing(line)), "\n")
+        def cleaned(flags: Column, gone: Column) -> Column:
+            left = F.array_join(F.filter(lines, lambda line, i: ~F.get(flags, i)), "\n")
             return F.struct(
                 F.size(gone).cast("long").alias("n_removed_lines"),
                 F.when(F.size(gone) == 0, F.lit(0).cast("long"))
@@ -148,10 +175,14 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
                 F.when(F.size(gone) == 0, body).otherwise(left).alias("cleaned_text"),
             )
 
-        return bind(filled, lambda f: bind(removed, lambda gone: F.struct(
-            (F.size(f) - F.size(F.array_distinct(f))).cast("long").alias("n_dup_lines"),
-            cleaned(gone).alias("clean"),
-        )))
+        def shown(flags: Column) -> Column:
+            removed = F.filter(lines, lambda line, i: F.get(flags, i))
+            return bind(filled, lambda f: bind(removed, lambda gone: F.struct(
+                (F.size(f) - F.size(F.array_distinct(f))).cast("long").alias("n_dup_lines"),
+                cleaned(flags, gone).alias("clean"),
+            )))
+
+        return bind(F.transform(lines, failing), shown)
 
     def verdict(base: Column, lines: Column) -> Column:
         clean = lines["clean"]
@@ -166,4 +197,4 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
     base = bind(words(body), judged)
     lines = bind(F.split(F.coalesce(body, F.lit("")), "\n"), by_line)
-    return docs.withColumn("quality", bind(base, lambda b: bind(lines, lambda n: verdict(b, n))))
+    return bind(base, lambda b: bind(lines, lambda n: verdict(b, n)))
