@@ -18,7 +18,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the lines that failed are gone from the others, and n_chars follows."""
-    judged = quality_rules.quality_rules(docs.select(*COLUMNS)).where("quality.kept")
+    judged = quality_rules.kept_documents(docs.select(*COLUMNS))
     changed = F.col("quality.n_removed_lines") > 0
     text = F.when(changed, F.col("quality.cleaned_text")).otherwise(F.col("text"))
     n_chars = F.when(changed, F.length("quality.cleaned_text").cast("long")).otherwise(F.col("n_chars"))
