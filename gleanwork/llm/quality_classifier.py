@@ -1,84 +1,129 @@
 """Quality classifier: document evidence combined with host and path posteriors, hierarchical empirical Bayes.
 
-Three levels. The document's own evidence is a log-odds from a small logistic model over shape features of
-the whole text. Its site gives a prior: how often documents of that host, and of that section (path) of the
-host, are good. Sites are judged by the classifier's evidence for all their documents, labelled or not: each
-document counts with its probability. Sparse sites are shrunk: a host's rate is a Beta posterior around the
-global rate, a section's rate a Beta posterior around its host's, with strengths estimated from the spread of
-the rates one level up (method of moments). The posterior log-odds of a document is its evidence plus the
-log-odds by which its section differs from the global rate.
+Three levels. The document's own evidence is the log-odds of two logistic models: one over hashed words and word
+pairs of the whole text, and one over its log-odds and the shape of the text, each fitted on its own half of the
+labels, so that the second sees how far the first can be trusted. Its site gives a prior: how often the *other* documents of that host, and of
+that section (path) of the host, are good. Sites are judged by the classifier's evidence for all their documents,
+labelled or not: each counts with its probability. Sparse sites are shrunk: a host's rate is a Beta posterior
+around the global rate, a section's rate a Beta posterior around its host's, with strengths estimated from the
+spread of the rates one level up (method of moments). The posterior log-odds of a document is its evidence plus
+the log-odds of its section's rate, where the document itself is taken out of all three levels, so that nothing
+counts twice.
 
 Everything about sites is grouped aggregation: per document one narrow row, per section and host one row of
-sums. A host with a third of all rows costs one partial sum per task. Only a handful of global numbers reach
-the driver. The model is fitted on at most `MAX_FIT` labelled rows, drawn by hash of the id.
+sums. Documents meet their section in `lookup_join`, which answers hot sections from a bounded broadcast. Only a
+handful of global numbers reach the driver. The model is fitted by Spark on about `MAX_FIT` labelled ids, drawn
+by hash.
 
 Defined results
 ---------------
-* A null or empty text has zero features and its site's prior decides, less the evidence of an empty text.
-* A null host or path is a site like any other. A label of null is no label; ids labelled twice count once.
+* A null or empty text has no words and zero shape; its site's prior and the evidence of an empty text decide.
+* A null host or path is a site like any other. A label of null is no label; an id labelled twice counts once,
+  with its larger label; of several texts of a labelled id the one with the smallest hash is learnt from. Where a
+  half of the labels has one kind only, both models are fitted on all of them. Labels are 0 and 1.
 * Without labels of both kinds the evidence is 0 and every document is as good as the global rate says: 1/2.
-* Repeated rows are judged alike and each counts for its site. Empty tables give empty results; further
-  columns are ignored.
+* Repeated rows are judged alike and each counts for its site. A site's only document has its host's rate, a
+  host's only document the global one. Empty tables give empty results; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import numpy as np
+import math
+from typing import NamedTuple
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import HashingTF, NGram, Normalizer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.llm.quality_rules import words
+from gleanwork.operators.lookup import lookup_join
 from gleanwork.session import staged
 
 MAX_FIT = 20_000
+WIDTH = 1 << 14  # places for hashed words, and as many for pairs
+TERM_RIDGE, RIDGE, ROUNDS = 0.1, 1e-3, 40
 KEEP_ABOVE = 0.5
-LETTERS = r"\p{L}"
 # Bounds of the shrinking strengths, in documents.
 WEAKEST, STRONGEST = 2.0, 10_000.0
+MOST = 30.0  # log-odds beyond are cut
+
+
+class Evidence(NamedTuple):
+    """A fitted model, None without labels of both kinds, and the log-odds of the share it was fitted on."""
+
+    model: PipelineModel | None
+    base: float
 
 
-def features(text: Column) -> dict[str, Column]:
-    """Shape of a text: shares of symbols, capitals and bars, repetition, length, sentence marks."""
+def shape(text: Column) -> dict[str, Column]:
+    """Shares of symbols, capitals and bars, repetition, length, sentence marks."""
     body = F.coalesce(text, F.lit(""))
     chars = F.greatest(F.length(body), F.lit(1))
     n_words = F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]+"))
-    words = F.greatest(n_words, F.lit(1))
+    n = F.greatest(n_words, F.lit(1))
     return {
         "symbols": F.regexp_count(body, F.lit("[#*$%&<>]")) / chars,
         "capitals": F.regexp_count(body, F.lit(r"\p{Lu}")) / chars,
-        "bars": F.regexp_count(body, F.lit("[|]")) / words,
-        "twins": F.regexp_count(body, F.lit(r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D]))")) / words,
-        "shouts": F.regexp_count(body, F.lit("!")) / words,
-        "stops": F.regexp_count(body, F.lit("[.]")) / words,
+        "bars": F.regexp_count(body, F.lit("[|]")) / n,
+        "twins": F.regexp_count(body, F.lit(r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D]))")) / n,
+        "shouts": F.regexp_count(body, F.lit("!")) / n,
+        "stops": F.regexp_count(body, F.lit("[.]")) / n,
         "length": F.log1p(n_words) / 10.0,
     }
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(weights with the constant first, means, scales) of a logistic model, by Newton steps."""
-    mean, scale = x.mean(axis=0), x.std(axis=0)
-    scale = np.where(scale > 0, scale, 1.0)
-    z = np.hstack([np.ones((len(x), 1)), np.clip((x - mean) / scale, -8, 8)])
-    w = np.zeros(z.shape[1])
-    penalty = ridge * len(x) * np.diag([0.0] + [1.0] * x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + penalty + 1e-9 * np.eye(len(w)), z.T @ (y - p) - penalty @ w)
-        w = w + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return w, mean, scale
-
-
-def _evidence(names: list[str], model: tuple[np.ndarray, np.ndarray, np.ndarray] | None, base: float) -> Column:
-    """Log-odds of the features alone: the model's, less the log-odds of the share it was fitted on."""
-    if model is None:
-        return F.lit(0.0)
-    w, mean, scale = model
-    total = F.lit(float(w[0]) - base)
-    for name, weight, m, s in zip(names, w[1:], mean, scale):
-        z = (F.col(name) - float(m)) / float(s)
-        total = total + float(weight) * F.greatest(F.least(z, F.lit(8.0)), F.lit(-8.0))
-    return total
+def _prepared(rows: DataFrame) -> DataFrame:
+    """`rows` (with `text`) with words and shape in the columns the model reads."""
+    made = shape(F.col("text"))
+    return rows.select(*[c for c in rows.columns if c != "text"], words(F.col("text")).alias("words"), *[c.alias(n) for n, c in made.items()])
+
+
+def _stages() -> list:
+    terms = [NGram(n=2, inputCol="words", outputCol="pairs")]
+    for name in ("words", "pairs"):
+        terms.append(HashingTF(numFeatures=WIDTH, inputCol=name, outputCol=f"{name}_counts"))
+        terms.append(Normalizer(inputCol=f"{name}_counts", outputCol=f"{name}_shares"))
+    return [*terms, VectorAssembler(inputCols=["words_shares", "pairs_shares"], outputCol="terms")]
+
+
+def fit_evidence(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+                 max_fit: int = MAX_FIT) -> Evidence:
+    """The model of labelled documents; `labels` has `key` and a 0/1 column `label`."""
+    known = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("double").alias("label")).where("label is not null and id is not null")
+    known = known.groupBy("id").agg(F.max("label").alias("label"))
+    share = min(max_fit / max(known.count(), 1), 1.0)
+    drawn = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    met = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(drawn, "id")
+    sample = staged(met.groupBy("id").agg(F.max("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text")), "labelled")
+    kinds = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(kinds) < 2:
+        return Evidence(None, 0.0)
+    steps = _stages()
+    rows = PipelineModel(steps).transform(_prepared(sample)).withColumn("half", F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)))
+    rows = staged(rows.select("label", "half", "terms", *shape(F.lit(""))), "vectors")
+    halves = [rows.where(F.col("half") == h) for h in (0, 1)]
+    if any(h.select("label").distinct().count() < 2 for h in halves):
+        halves = [rows, rows]
+    term_model = LogisticRegression(
+        regParam=TERM_RIDGE, maxIter=ROUNDS, featuresCol="terms", labelCol="label", rawPredictionCol="term_odds",
+        probabilityCol="term_chance", predictionCol="term_says").fit(halves[0])
+    whole = VectorAssembler(inputCols=[*shape(F.lit("")), "term_odds"], outputCol="features")
+    learnt = whole.transform(term_model.transform(halves[1]))
+    fitted = LogisticRegression(regParam=RIDGE, maxIter=ROUNDS, featuresCol="features", labelCol="label").fit(learnt)
+    seen = learnt.agg(F.avg("label")).first()[0]
+    return Evidence(PipelineModel([*steps, term_model, whole, fitted]), math.log(seen / (1 - seen)))
+
+
+def with_evidence(rows: DataFrame, evidence: Evidence) -> DataFrame:
+    """`rows` (with `text`) with `evidence` in place of the text: log-odds beyond those of the share fitted on."""
+    if evidence.model is None:
+        return rows.withColumn("evidence", F.lit(0.0)).drop("text")
+    odds = vector_to_array("rawPrediction")[1] - F.lit(evidence.base)
+    judged = evidence.model.transform(_prepared(rows))
+    return judged.select(*[c for c in rows.columns if c != "text"], odds.alias("evidence"))
 
 
 def _strength(rates: DataFrame, prior: Column) -> float:
@@ -98,45 +143,59 @@ def _strength(rates: DataFrame, prior: Column) -> float:
     return float(min(max(1 / share - 1, WEAKEST), STRONGEST)) if share > 0 else STRONGEST
 
 
+def _chance(odds: Column) -> Column:
+    return 1 / (1 + F.exp(-F.greatest(F.least(odds, F.lit(MOST)), F.lit(-MOST))))
+
+
+def judge_sites(rows: DataFrame, base: float = 0.0, keep_above: float = KEEP_ABOVE) -> DataFrame:
+    """(id, evidence, host_rate, path_rate, posterior, kept) of `rows` (id, host, path, evidence).
+
+    The rates are those of the other documents; `base` is the log-odds of a good document at evidence 0.
+    """
+    keyed = rows.select(
+        "id", "evidence", _chance(F.col("evidence") + base).alias("good"),
+        # JSON tells null from any text, so that a null site is a key like others.
+        F.to_json(F.struct("host"), {"ignoreNullFields": "false"}).alias("host"),
+        F.to_json(F.struct("host", "path"), {"ignoreNullFields": "false"}).alias("site"))
+    scored = staged(keyed, "scored")
+    sections = staged(scored.groupBy("site").agg(F.min("host").alias("host"), F.count("*").alias("n"), F.sum("good").alias("sum")), "sections")
+    per_host = staged(sections.groupBy("host").agg(F.sum("n").alias("n"), F.sum("sum").alias("sum")), "hosts")
+    whole = per_host.agg(F.sum("n").alias("n"), F.sum("sum").alias("sum")).first()
+    total, good = whole["n"] or 0, whole["sum"] or 0.0
+    overall = good / total if total else 0.5
+    host_strength = _strength(per_host.withColumn("rate", F.col("sum") / F.col("n")), F.lit(overall))
+    hosts = per_host.select("host", F.col("n").alias("host_n"), F.col("sum").alias("host_sum"))
+    placed = staged(lookup_join(sections, hosts, "host").drop("host"), "placed")
+    host_rate = (F.col("host_sum") + host_strength * overall) / (F.col("host_n") + host_strength)
+    path_strength = _strength(placed.withColumn("rate", F.col("sum") / F.col("n")), host_rate)
+    met = lookup_join(scored.drop("host"), placed, "site")
+    others = (F.lit(good) - F.col("good")) / (total - 1) if total > 1 else F.lit(0.5)
+    host_rate = (F.col("host_sum") - F.col("good") + host_strength * others) / (F.col("host_n") - 1 + host_strength)
+    path_rate = (F.col("sum") - F.col("good") + path_strength * F.col("host_rate")) / (F.col("n") - 1 + path_strength)
+    rated = met.withColumn("host_rate", host_rate).withColumn("path_rate", F.greatest(F.least(path_rate, F.lit(1 - 1e-9)), F.lit(1e-9)))
+    posterior = _chance(F.col("evidence") + F.log(F.col("path_rate") / (1 - F.col("path_rate"))))
+    return rated.select("id", "evidence", "host_rate", "path_rate", posterior.alias("posterior"), (posterior >= keep_above).alias("kept"))
+
+
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, key: str = "doc_id", text: str = "text",
              label: str = "quality", max_fit: int = MAX_FIT, keep_above: float = KEEP_ABOVE) -> DataFrame:
     """One row per document: `key`, evidence, host_rate, path_rate, posterior, kept.
 
-    `host` and `path` are expressions over `docs`; `labels` has `key` and a 0/1 column `label`.
+    `host` and `path` are expressions over `docs`.
     """
-    made = features(F.col(f"`{text}`"))
-    names = list(made)
-    rows = docs.select(F.col(f"`{key}`").alias("id"), host.alias("host"), path.alias("path"), *[c.alias(n) for n, c in made.items()])
-    rows = staged(rows, "features")
-    known = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").alias("y")).where("y is not null and id is not null")
-    known = known.groupBy("id").agg(F.max("y").alias("y"))
-    # A bounded sample by hash: the same rows on every rerun.
-    share = max_fit / max(known.count(), 1)
-    drawn = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(min(share, 1.0) * 1_000_000))
-    sample = rows.select("id", *names).dropDuplicates(["id"]).join(drawn, "id").select("y", *names).limit(2 * max_fit).toPandas()
-    model, base = None, 0.0
-    if sample["y"].nunique() == 2:
-        y = sample["y"].to_numpy(float)
-        model = fit(sample[names].to_numpy(float), y)
-        base = float(np.log(y.mean() / (1 - y.mean())))
-    scored = rows.select("id", "host", "path", _evidence(names, model, base).alias("evidence"))
-    good = 1 / (1 + F.exp(-F.greatest(F.least(F.col("evidence") + base, F.lit(30.0)), F.lit(-30.0))))
-    sections = staged(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(good).alias("good")), "sections")
-    whole = sections.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
-    overall = min(max((whole["good"] or 0.0) / whole["n"], 1e-6), 1 - 1e-6) if whole["n"] else 0.5
-    per_host = sections.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn("rate", F.col("good") / F.col("n"))
-    per_host = staged(per_host, "hosts")
-    strength = _strength(per_host, F.lit(overall))
-    hosts = per_host.select(F.col("host").alias("h"), ((F.col("good") + strength * overall) / (F.col("n") + strength)).alias("host_rate"))
-    placed = staged(sections.join(hosts, sections["host"].eqNullSafe(hosts["h"])).drop("h").withColumn("rate", F.col("good") / F.col("n")), "placed")
-    strength = _strength(placed, F.col("host_rate"))
-    rates = placed.select(
-        F.col("host").alias("h"), F.col("path").alias("p"), "host_rate",
-        ((F.col("good") + strength * F.col("host_rate")) / (F.col("n") + strength)).alias("path_rate"))
-    rate = F.greatest(F.least(F.col("path_rate"), F.lit(1 - 1e-6)), F.lit(1e-6))
-    odds = F.col("evidence") + F.log(rate / (1 - rate))
-    # One row per section on the right; hot sections on the left are split by the adaptive join.
-    met = scored.join(rates, scored["host"].eqNullSafe(rates["h"]) & scored["path"].eqNullSafe(rates["p"]))
-    posterior = 1 / (1 + F.exp(-F.greatest(F.least(odds, F.lit(30.0)), F.lit(-30.0))))
-    return met.select(
-        F.col("id").alias(key), "evidence", "host_rate", "path_rate", posterior.alias("posterior"), (posterior >= keep_above).alias("kept"))
+    evidence = fit_evidence(docs, labels, key, text, label, max_fit)
+    rows = docs.select(F.col(f"`{key}`").alias("id"), host.alias("host"), path.alias("path"), F.col(f"`{text}`").alias("text"))
+    return _named(judge_sites(with_evidence(rows, evidence), evidence.base, keep_above), key)
+
+
+def classify_other(rows: DataFrame, docs: DataFrame, labels: DataFrame, host: Column, path: Column, key: str, text: str = "text",
+                   doc_key: str = "doc_id", doc_text: str = "text", label: str = "quality", max_fit: int = MAX_FIT) -> DataFrame:
+    """As `classify`, for `rows` of another table than the labelled `docs` the model is fitted on."""
+    evidence = fit_evidence(docs, labels, doc_key, doc_text, label, max_fit)
+    told = rows.select(F.col(f"`{key}`").alias("id"), host.alias("host"), path.alias("path"), F.col(f"`{text}`").alias("text"))
+    return _named(judge_sites(with_evidence(told, evidence), evidence.base), key)
+
+
+def _named(judged: DataFrame, key: str) -> DataFrame:
+    """The id under its own name; a judged column of the same name gives way to it."""
+    return judged.select(F.col("id").alias(key), *[c for c in judged.columns if c not in ("id", key)])

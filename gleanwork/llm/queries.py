@@ -86,6 +86,14 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(docs, labels, F.col("source"), F.col("lang"))
 
 
+def quality_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same classifier over real sites: the text of every page, its host, and the first segment of its path."""
+    pages, docs, labels = (_table(spark, sf_dir, t) for t in ("pages", "documents", "labels"))
+    texts = url_filter.split_url(html_extract.extract_text(pages))
+    section = F.regexp_extract("path", "^/([^/]*)/", 1)
+    return quality_classifier.classify_other(texts, docs, labels, F.col("host"), section, "page_id")
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -153,6 +161,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
+    "quality_of_pages": quality_of_pages,
     "op7_near_dedup": op7_near_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op9_token_files": op9_token_files,

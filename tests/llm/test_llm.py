@@ -449,6 +449,45 @@ def test_classifier_shrinks_sparse_sites(spark, corpus):
     assert quality_classifier.classify(docs_of(spark, []), labels, F.col("source"), F.col("lang")).count() == 0
 
 
+def strength_of(groups):
+    """`groups` are (n, rate, prior): the Beta prior's size by moments."""
+    many = [(n, r, p, p * (1 - p)) for n, r, p in groups if n > 1 and p * (1 - p) > 0]
+    room = sum((n - 1) * v for n, _, _, v in many)
+    if not room:
+        return quality_classifier.STRONGEST
+    share = (sum(n * (r - p) ** 2 for n, r, p, _ in many) - sum(v for *_, v in many)) / room
+    return min(max(1 / share - 1, quality_classifier.WEAKEST), quality_classifier.STRONGEST) if share > 0 else quality_classifier.STRONGEST
+
+
+def test_sites_leave_the_document_out(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        host = rng.choice([None, "", "big", "big", f"h{rng.randint(0, 90)}"])
+        lean = {"big": 2.0, None: -2.0}.get(host, 0.0)
+        rows.append((i, host, rng.choice([None, "a", "b", f"p{i}"]), rng.gauss(lean, 1.5)))
+    base = 0.4
+    got = {r.id: r for r in quality_classifier.judge_sites(spark.createDataFrame(rows, "id bigint, host string, path string, evidence double"), base).collect()}
+    good = {i: 1 / (1 + math.exp(-(e + base))) for i, _, _, e in rows}
+    hosts, sections = {}, {}
+    for i, h, p, _ in rows:
+        hosts.setdefault(h, []).append(good[i])
+        sections.setdefault((h, p), []).append(good[i])
+    n, total = len(rows), sum(good.values())
+    k = strength_of([(len(g), sum(g) / len(g), total / n) for g in hosts.values()])
+    shrunk = {h: (sum(g) + k * total / n) / (len(g) + k) for h, g in hosts.items()}
+    j = strength_of([(len(g), sum(g) / len(g), shrunk[h]) for (h, _), g in sections.items()])
+    changed = 0
+    for i, h, p, e in rows:
+        host = (sum(hosts[h]) - good[i] + k * (total - good[i]) / (n - 1)) / (len(hosts[h]) - 1 + k)
+        path = (sum(sections[h, p]) - good[i] + j * host) / (len(sections[h, p]) - 1 + j)
+        posterior = 1 / (1 + math.exp(-(e + math.log(path / (1 - path)))))
+        assert (got[i].host_rate, got[i].path_rate, got[i].posterior) == pytest.approx((host, path, posterior))
+        assert got[i].kept == (got[i].posterior >= 0.5)
+        changed += got[i].kept != (e + base >= 0)
+    assert len(got) == n and min(map(len, sections.values())) == 1 and changed > n / 20
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
