@@ -43,8 +43,8 @@ from gleanwork.operators.lookup import lookup_join
 from gleanwork.session import staged
 
 MAX_FIT = 20_000
-WIDTH = 1 << 14  # places for hashed words, and as many for pairs
-TERM_RIDGE, RIDGE, ROUNDS = 0.1, 1e-3, 40
+WIDTH = 1 << 13  # places for hashed words, and as many for pairs
+TERM_RIDGE, RIDGE, ROUNDS = 0.1, 1e-3, 25
 KEEP_ABOVE = 0.5
 # Bounds of the shrinking strengths, in documents.
 WEAKEST, STRONGEST = 2.0, 10_000.0
