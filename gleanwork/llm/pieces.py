@@ -444,33 +444,35 @@ class Codec:
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.processor.decode([x.tolist() for x in ids], num_threads=1)
 
-    def ids_of_edges(self, edges: np.ndarray) -> np.ndarray:
-        """Piece ids of a path; characters outside the vocabulary as their bytes."""
-        pieces = self.lattices.piece.data[edges]
-        if len(pieces) == 0 or pieces.min() >= 0:
-            return pieces.copy()
+    def ids_of_paths(self, paths: list[np.ndarray]) -> list[np.ndarray]:
+        """Piece ids of paths given by their edges; characters outside the vocabulary as their bytes."""
+        pieces = self.lattices.piece.data[np.concatenate([np.zeros(0, np.int64), *paths]).astype(np.int64)]
+        ends = np.cumsum([0, *map(len, paths)])
         outside = np.flatnonzero(pieces < 0)
-        spelled = [[self.bytes[b] for b in chr(-1 - p).encode()] for p in pieces[outside].tolist()]
-        counts = np.ones(len(pieces), np.int64)
-        counts[outside] = [len(x) for x in spelled]
-        out = np.repeat(pieces, counts)
-        out[out < 0] = [i for x in spelled for i in x]
-        return out
+        if len(outside):
+            spelled = [[self.bytes[b] for b in chr(-1 - p).encode()] for p in pieces[outside].tolist()]
+            counts = np.ones(len(pieces), np.int64)
+            counts[outside] = [len(x) for x in spelled]
+            ends = np.concatenate([[0], np.cumsum(counts)])[ends]
+            pieces = np.repeat(pieces, counts)
+            pieces[pieces < 0] = [i for x in spelled for i in x]
+        return np.split(pieces, ends[1:-1]) if paths else []
 
     def sample(self, words: Words | list[list[str]], keys: list) -> list[list[dict]]:
         """Distinct segmentations of each text (as for `encode`) with log-probability, perturbed weight and inclusion score."""
         words = words if isinstance(words, Words) else self.lattices.words(words)
         seeds = np.array([xxhash.xxh3_64_intdigest(repr(k).encode()) for k in keys], np.uint64)
-        out = []
-        for found in self.sampler.sample(words, seeds):
+        out, drawn = [], self.sampler.sample(words, seeds)
+        ids = iter(self.ids_of_paths([edges for found in drawn for edges, _, _ in found[:-1]]))
+        for found in drawn:
             threshold = found[-1][2]
             rows = []
-            for edges, logp, arrival in found[:-1]:
+            for _, logp, arrival in found[:-1]:
                 # A path is in the sample when it arrives before the threshold: 1 - exp(-p * time).
                 log_mean = logp + threshold
                 inclusion = 1.0 if log_mean > 30 else -math.expm1(-math.exp(log_mean))
                 weight = logp - math.log(inclusion) if inclusion > 0 else -threshold
-                rows.append({"ids": self.ids_of_edges(edges), "log_prob": logp, "perturbed": -arrival, "inclusion": inclusion, "log_weight": weight})
+                rows.append({"ids": next(ids), "log_prob": logp, "perturbed": -arrival, "inclusion": inclusion, "log_weight": weight})
             out.append(rows)
         return out
 
@@ -484,16 +486,23 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
             start, size = i + 1, 0
 
 
+NUMBERS = ("log_prob", "perturbed", "inclusion", "log_weight")
 SAMPLE_TYPE = "struct<rank:int,ids:array<int>,log_prob:double,perturbed:double,inclusion:double,log_weight:double>"
 
 
-def _run(model_file: str, samples: int, power: float, offset: float, seed: str, keep_ids: bool):
-    sample_fields = [("rank", pa.int32())] + ([("ids", pa.list_(pa.int32()))] if keep_ids else [("n_pieces", pa.int64()), ("ids_crc32", pa.int64())])
-    sample_fields += [(c, pa.float64()) for c in ("log_prob", "perturbed", "inclusion", "log_weight")]
-    sample_type = pa.list_(pa.struct(sample_fields))
+def _lists(parts: list[np.ndarray], checksums: bool) -> list[pa.Array]:
+    """Arrays of ids as one Arrow column of lists, and with `checksums` the length and CRC-32 of each."""
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, np.int32), *parts]).astype("<i4", copy=False)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+    if not checksums:
+        return [lists]
+    sums = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    return [lists, pa.array(np.diff(ends).astype(np.int64)), pa.array(sums, pa.int64())]
+
 
-    def shown(ids: np.ndarray) -> dict:
-        return {"ids": ids} if keep_ids else {"n_pieces": len(ids), "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes())}
+def _run(model_file: str, samples: int, power: float, offset: float, seed: str, checksums: bool):
+    ids_names = ["ids", "n_pieces", "ids_crc32"] if checksums else ["ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = per_process(("pieces", model_file, samples, power, offset), lambda: Codec(model_file, samples, power, offset))
@@ -507,33 +516,32 @@ def _run(model_file: str, samples: int, power: float, offset: float, seed: str,
                 back = codec.decode(ids)
                 whole = [x == t.replace(BLANK, " ") for x, t in zip(back, block)]
                 drawn = codec.sample(words, [(seed, k) for k in part.to_pylist()])
-                rows = [[{"rank": i + 1, **shown(r.pop("ids")), **r} for i, r in enumerate(found)] for found in drawn]
-                head = [pa.array(ids, pa.list_(pa.int32()))] if keep_ids else [
-                    pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64())]
-                names = ["ids"] if keep_ids else ["n_pieces", "ids_crc32"]
-                yield pa.RecordBatch.from_arrays([part, *head, pa.array(whole), pa.array(rows, sample_type)], ["id", *names, "round_trip", "samples"])
+                flat = list(chain.from_iterable(drawn))
+                ranks = [i + 1 for found in drawn for i in range(len(found))]
+                columns = [pa.array(ranks, pa.int32()), *_lists([r["ids"] for r in flat], checksums), *(pa.array([r[c] for r in flat], pa.float64()) for c in NUMBERS)]
+                ends = np.cumsum([0, *map(len, drawn)]).astype(np.int32)
+                held = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, ["rank", *ids_names, *NUMBERS]))
+                yield pa.RecordBatch.from_arrays([part, *_lists(ids, checksums), pa.array(whole), held], ["id", *ids_names, "round_trip", "samples"])
 
     return run
 
 
 def encode_and_sample(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", samples: int = SAMPLES,
-                      power: float = POWER, offset: float = OFFSET, seed: str = "pieces", keep_ids: bool = True) -> DataFrame:
+                      power: float = POWER, offset: float = OFFSET, seed: str = "pieces", checksums: bool = False) -> DataFrame:
     """One row per document: `key`, ids (the library's), round_trip, samples.
 
     `samples` are distinct segmentations with rank, ids, log_prob, perturbed weight, inclusion (probability
-    of being in the sample given the threshold) and log_weight (importance weight, log). With
-    `keep_ids=False` ids are replaced by their number and CRC-32 (little-endian unsigned 32-bit integers).
+    of being in the sample given the threshold) and log_weight (importance weight, log). With `checksums` all ids
+    are followed by their number and CRC-32 (little-endian unsigned 32-bit integers).
     `model_file` is a path that exists on every executor.
     """
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    if keep_ids:
-        schema = f"id {id_type}, ids array<int>, round_trip boolean, samples array<{SAMPLE_TYPE}>"
-    else:
-        held = SAMPLE_TYPE.replace("ids:array<int>", "n_pieces:bigint,ids_crc32:bigint")
-        schema = f"id {id_type}, n_pieces bigint, ids_crc32 bigint, round_trip boolean, samples array<{held}>"
-    done = rows.mapInArrow(_run(model_file, samples, power, offset, seed, keep_ids), schema)
-    return done.withColumnRenamed("id", key)
+    schema = f"id {id_type}, ids array<int>, round_trip boolean, samples array<{SAMPLE_TYPE}>"
+    if checksums:
+        schema = schema.replace("ids array<int>", "ids array<int>, n_pieces bigint, ids_crc32 bigint")
+        schema = schema.replace("ids:array<int>", "ids:array<int>,n_pieces:bigint,ids_crc32:bigint")
+    return rows.mapInArrow(_run(model_file, samples, power, offset, seed, checksums), schema).withColumnRenamed("id", key)
 
 
 def _decode(model_file: str):

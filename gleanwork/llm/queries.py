@@ -25,7 +25,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The library's ids of every text, two sampled segmentations, and whether the text comes back."""
     docs = _table(spark, sf_dir, "documents")
-    return pieces.encode_and_sample(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_ids=False)
+    return pieces.encode_and_sample(docs, public_tokenizers.path("piece_bpe_32k.model"), checksums=True)
 
 
 CALL_SCHEMAS = {"answer": {

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanwork.llm import chat, components, exact_dedup, line_dedup, minhash, mixing, pieces, quality_classifier, quality_rules, token_files, url_filter
+from gleanwork.llm import queries as llm_queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint, n bigint, kept boolean, place string"
@@ -306,6 +307,21 @@ def test_encode_and_sample(spark, corpus):
     assert pieces.encode_and_sample(docs_of(spark, []), model).count() == 0
 
 
+def test_query_gives_the_ids_it_makes(spark, corpus, tmp_path):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = docs_of(spark, [*corpus[:40], (None, "漢 a🙂", None), (7, None, None)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    made = llm_queries.op2_sentencepiece(spark, str(tmp_path))
+    rows = made.collect()
+    for held in [*rows, *(x for r in rows for x in r.samples)]:
+        assert (held.n_pieces, held.ids_crc32) == (len(held.ids), zlib.crc32(np.array(held.ids, "<u4").tobytes()))
+    plain = pieces.encode_and_sample(docs, model).collect()
+    assert Counter(str((r.doc_id, r.ids, [x.ids for x in r.samples])) for r in rows) == Counter(str((r.doc_id, r.ids, [x.ids for x in r.samples])) for r in plain)
+    pulled = made.select("doc_id", "ids", F.explode("samples.ids").alias("drawn"))
+    back, again = (Counter(map(str, pieces.decode_ids(pulled, model, ids=c).collect())) for c in ("ids", "drawn"))
+    assert back == again and len(rows) == docs.count()
+
+
 def edits(a, b):
     row = list(range(len(a) + 1))
     for i, y in enumerate(b):
