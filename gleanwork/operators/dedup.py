@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.functions.urls import normalize_url
+from gleanwork.session import staged
 
 # Fixed value: the error a later arrival carries.
 DUPLICATE = "Duplicate URL"
@@ -94,14 +95,14 @@ def skip_seen(pages: DataFrame, seen: DataFrame, known: DataFrame | None = None,
     """Rows whose canonical URL is not in `seen.normalized_url`; rows without a URL stay.
 
     `known` is the merged filter of the history, if it was kept (of the same `words`); else it is made from `seen`. What it rules out
-    is new and is never shuffled. Possible hits meet the history: their distinct URLs are looked up, and the
-    rows then meet one row per URL, so that a URL with a third of all rows is split at run time. A full
-    filter rules out less and loses nothing.
+    is new and is never shuffled. Possible hits meet the history: their distinct URLs are looked up and staged, and the
+    rows then meet one row per URL in a join of two plain shuffles, the only kind that is split at run time where a URL
+    has a third of all rows. A full filter rules out less and loses nothing.
     """
     named = with_normalized_url(pages)
     new, maybe = split_by_filter(named, known if known is not None else url_filter(seen, words=words), words)
     asked = maybe.select("normalized_url").distinct()
-    found = asked.join(seen.select("normalized_url"), "normalized_url", "left_semi")
+    found = staged(asked.join(seen.select("normalized_url"), "normalized_url", "left_semi"), "seen-urls")
     return new.unionByName(maybe.join(found, "normalized_url", "left_anti"))
 
 

@@ -100,6 +100,23 @@ def test_what_a_filter_rules_out_is_not_shuffled(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
 
 
+def test_rows_of_a_hot_url_are_split(spark):
+    rows = [(i, "https://a/hot" if i % 3 else f"https://a/{i % 30000}") for i in range(30000)] + [(30000, None)]
+    pages = spark.createDataFrame(rows, "seq bigint, url string")
+    seen = spark.createDataFrame([(u,) for u in ["https://a/hot"] * 2 + [f"https://a/{i}" for i in range(0, 30000, 6)]], "normalized_url string")
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    for key, value in low.items():
+        spark.conf.set(key, value)
+    try:
+        kept = dedup.skip_seen(pages, seen, dedup.url_filter(seen, words=1 << 14), 1 << 14)
+        assert {r.seq for r in kept.collect()} == {i for i in range(3, 30000, 6)} | {30000}
+        assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in low:
+            spark.conf.unset(key)
+
+
 # -- streams --------------------------------------------------------------------------------------
 
 
