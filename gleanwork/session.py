@@ -8,13 +8,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job here relies on: dates are formatted in the session zone, and hot keys are
-# split at run time on top of what the operators do themselves.
+# Settings every job here relies on: dates are formatted in the session zone, hot keys are
+# split at run time on top of what the operators do themselves, and Python workers get texts in
+# small batches, so that their memory does not depend on how many rows a task has.
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 _scratch: list[str] = []

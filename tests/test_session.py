@@ -1,6 +1,8 @@
 import os
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gleanwork import session
 
@@ -41,3 +43,14 @@ def test_staged_tables_can_be_removed(spark):
     assert os.path.isdir(path)
     session.clear_scratch(spark)
     assert not os.path.isdir(path) and not session._scratch
+
+
+def test_python_workers_get_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["n_bytes"])
+
+    session.ensure_settings(spark)
+    rows = spark.range(0, 8000, 1, 1).select(F.repeat(F.lit("x"), 3000).alias("html"))
+    seen = [r.n_bytes for r in rows.mapInArrow(sizes, "n_bytes bigint").collect()]
+    assert sum(seen) > 20_000_000 and max(seen) < 8_000_000
