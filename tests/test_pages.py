@@ -1,6 +1,8 @@
 """HTML facts, field chains and chunks."""
 
+import random
 from datetime import datetime
+from html.parser import HTMLParser
 
 import pytest
 
@@ -180,3 +182,22 @@ def test_chunk_documents_and_requests(spark):
     assert asked.count() == len(rows) and asked.first().system_prompt.startswith("Sys\nIMPORTANT")
     chunk.register_chunk_udtf(spark)
     assert spark.sql("SELECT * FROM chunk_text('aaaaaa. bbbb', 10, 0)").count() == 2
+
+
+def test_plain_tags_and_pages_without_wanted_ones_read_the_same(monkeypatch):
+    rng = random.Random(5)
+    parts = ['<meta property="og:title" content="a b">', "<META name=x content='y'>", '<p class="a" class="b">', '<a href="/x">', '<a href="/x?a=1&amp;b=2">', "</a>",
+             '<h1 class="Title">', "</h1>", "<title>", "</title>", '<script type="application/ld+json">{"name":"<b>"}', "</script>", "<time datetime=\"z\">", "</time>",
+             '<div class="dateline">', "</div>", "text", " ", "&amp;", "<", "<b", '<i x="', '">', "<!-- c -->", "<br/>", "<pre>", "<textarea>", "</p>", "<noscript>", '<b  id="q" >']
+    pages = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)] + ["", None]
+    wanted = [("ld_json",), ("h1", "title"), ("hrefs",), ("metas", "time_datetime"), tuple(html.FACTS)]
+    got = [html.page_facts(p, w) for p in pages for w in wanted]
+    reads = []
+    monkeypatch.setattr(html.PageReader, "feed", lambda self, data: reads.append(data))
+    html.page_facts("<h1>a</h1>" * 9, ("ld_json", "hrefs"))
+    assert not reads  # neither a script nor a link: nothing is parsed
+    monkeypatch.undo()
+    monkeypatch.setattr(html.PageReader, "parse_starttag", HTMLParser.parse_starttag)
+    last_change = html._last_change
+    monkeypatch.setattr(html, "_last_change", lambda markup, facts: max(last_change(markup, facts), 1))
+    assert got == [html.page_facts(p, w) for p in pages for w in wanted]
