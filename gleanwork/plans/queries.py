@@ -1010,10 +1010,11 @@ def stream_dedup_exact(spark, sf_dir):
     """All events in three micro-batches, in the order of their numbers."""
     path, events = scratch_dir(spark, "dedup-exact"), table(spark, sf_dir, "events")
     third = F.floor(F.col("event_id") * 3 / (events.agg(F.max("event_id")).scalar() + 1))
-    for part in range(3):
-        events.where(third == part).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    streams.dedup_into(_event_pages(arriving).select("seq", "url"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    files = 4 * spark.sparkContext.defaultParallelism
+    for part in range(3):  # each run takes the files that are new, of any number, in one micro-batch
+        events.where(third == part).repartition(files).write.mode("append").parquet(f"{path}/in")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{path}/in")
+        streams.dedup_into(_event_pages(arriving).select("seq", "url"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.schema("seq BIGINT, normalized_url STRING").parquet(f"{path}/out").select("seq", "normalized_url")
 
 

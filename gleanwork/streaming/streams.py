@@ -64,7 +64,7 @@ def stream_upsert(
 class _FirstArrival(StatefulProcessor):
     """Lets the lowest `seq` of a URL's first micro-batch through and remembers the URL."""
 
-    def __init__(self, seq: str, ttl_ms: int | None) -> None:
+    def __init__(self, seq: str, ttl_ms: int) -> None:
         self.seq, self.ttl_ms = seq, ttl_ms
 
     def init(self, handle) -> None:
@@ -85,31 +85,50 @@ class _FirstArrival(StatefulProcessor):
         pass
 
 
-def stream_first_arrivals(pages: DataFrame, seq: str = "seq", ttl: timedelta | None = None) -> DataFrame:
-    """Per canonical URL the first arrival ever: the lowest `seq` of the first micro-batch that holds it.
+def stream_first_arrivals(pages: DataFrame, seq: str = "seq") -> DataFrame:
+    """Per canonical URL the first arrival ever: the lowest `seq` of the first micro-batch that holds it. For update mode.
 
     URLs seen are keyed state in the RocksDB store, on disk beside the checkpoint: no micro-batch reads the history
-    again, and a restart goes on where the last one ended. With a `ttl` a URL counts as new that long after its
-    first arrival (processing time). Rows without a URL all pass. Select what you need before: rows pass through Python.
+    again, and a restart goes on where the last one ended. The state is an aggregation with the first and the last
+    micro-batch of a URL, told by their batch times: where both are one, the URL is new. Rows of a URL are combined before
+    the shuffle. State holds a row per URL, so select what you need before. Rows without a URL all pass.
     """
-    spark = pages.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    pages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # The canonical form is null where the URL is, so only one of the two makes it.
+    keyed, free = (with_normalized_url(pages.where(url)) for url in (F.col("url").isNotNull(), F.col("url").isNull()))
+    row, rank = F.struct(*(F.col(f"`{c}`") for c in keyed.columns if c != "normalized_url")), F.struct(F.col(seq).isNull(), F.col(seq))
+    timed = keyed.select("normalized_url", row.alias("row"), rank.alias("rank"), F.current_timestamp().alias("at"))
+    seen = timed.groupBy("normalized_url").agg(F.min_by("row", "rank").alias("row"), F.min("at").alias("since"), F.max("at").alias("until"))
+    columns = (F.col(c) if c == "normalized_url" else F.col("row").getField(c).alias(c) for c in keyed.columns)
+    return seen.where(F.col("since") == F.col("until")).select(*columns).unionAll(free)
+
+
+def stream_first_arrivals_within(pages: DataFrame, ttl: timedelta, seq: str = "seq") -> DataFrame:
+    """The same for append mode, where a URL counts as new again a `ttl` after its first arrival (processing time).
+
+    Rows pass through Python, and every URL of a micro-batch costs calls to the state store: for small batches.
+    """
+    pages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     named = with_normalized_url(pages)
     keyed, free = named.where(F.col("normalized_url").isNotNull()), named.where(F.col("normalized_url").isNull())
-    processor = _FirstArrival(seq, int(ttl.total_seconds() * 1000) if ttl else None)
-    firsts = keyed.groupBy("normalized_url").transformWithStateInPandas(
-        processor, keyed.schema, "Append", "ProcessingTime" if ttl else "None")
+    processor = _FirstArrival(seq, int(ttl.total_seconds() * 1000))
+    firsts = keyed.groupBy("normalized_url").transformWithStateInPandas(processor, keyed.schema, "Append", "ProcessingTime")
     return firsts.unionAll(free)
 
 
 def dedup_into(pages: DataFrame, out_path: str, checkpoint: str, seq: str = "seq", ttl: timedelta | None = None, **trigger) -> StreamingQuery:
-    """`stream_first_arrivals` into a Parquet folder.
+    """`stream_first_arrivals` into a Parquet folder, a partition `micro_batch` for each; a replayed one replaces its own.
 
     Without a `trigger` it takes all there is and ends; with a `ttl` in one micro-batch, since a stream that watches the
     clock never runs dry.
     """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/micro_batch={batch_id}")
+
+    firsts = stream_first_arrivals_within(pages, ttl, seq) if ttl else stream_first_arrivals(pages, seq)
     return (
-        stream_first_arrivals(pages, seq, ttl).writeStream.format("parquet").option("path", out_path)
+        firsts.writeStream.outputMode("append" if ttl else "update").foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or ({"once": True} if ttl else {"availableNow": True})))
         .start()

@@ -139,6 +139,20 @@ def test_keyed_state_survives_a_restart(spark, folder):
     assert run() == [("", 6), ("", 9), ("https://a/x", 3), ("https://b", 4), ("https://c", 7), ("https://d", 11)]
 
 
+def test_first_arrivals_are_found_without_python_rows(spark, folder):
+    """Rows with a null or repeated number, or the same URL in later batches; the state is kept by Spark's own aggregation."""
+    stream = spark.readStream.schema("seq bigint, url string").option("maxFilesPerTrigger", 1).parquet
+    batch(spark, f"{folder}/in", [(None, "https://a"), (4, "https://a/"), (None, "https://b"), (None, None), (5, "https://c"), (5, "https://c")])
+    batch(spark, f"{folder}/in", [(1, "https://a"), (2, "https://b"), (9, "https://d"), (3, "https://d/")])
+    query = streams.dedup_into(stream(f"{folder}/in"), f"{folder}/out", f"{folder}/ck")
+    query.awaitTermination()
+    got = spark.read.schema("seq bigint, url string, normalized_url string").parquet(f"{folder}/out")
+    assert {(r.normalized_url, r.seq) for r in got.collect()} == {
+        ("https://a", 4), ("https://b", None), (None, None), ("https://c", 5), ("https://d", 3)} and got.count() == 5
+    assert sorted((r.micro_batch, r["count"]) for r in got.groupBy("micro_batch").count().collect()) == [(0, 4), (1, 1)]
+    assert [op.operatorName for op in query.lastProgress.stateOperators] == ["stateStoreSave"]
+
+
 def test_urls_are_forgotten_after_their_time(spark, folder):
     stream = spark.readStream.schema("seq bigint, url string").option("maxFilesPerTrigger", 1).parquet
     for part in range(2):
