@@ -20,6 +20,7 @@ Defined results
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -40,11 +41,14 @@ PAGE_BYTES = 256 << 10
 BLOCK_CHARS = 1 << 19
 
 _ODD = re.compile(r" (?:\s|\Z)")
-MEMO_WORDS = 600_000
+MEMO_WORDS = 800_000
 # New words encoded side by side in one call.
 TOGETHER = 500
 # Fixed value: how the vocabulary spells a blank.
 BLANK = "\u0120"
+# Latin letters, which are letters to every version of Unicode.
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+_WORD = re.compile(f" ?[{LETTERS}]+")
 
 
 def pieces(text: str) -> list[str]:
@@ -67,25 +71,36 @@ def _fast_pieces(text: str) -> list[str]:
     """`pieces` for the common case, without a Python step per word."""
     if "\0" in text or _ODD.search(text):
         return pieces(text)
+    lines = text.split("\n")
+    # A line feed between other signs than white space is a piece by itself, whatever stands around.
+    if len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+        text = "\0\n\0".join(lines)
     return text.replace(" ", "\0 ").split("\0")
 
 
 class ByteEncoder:
     """Ids of texts as the library gives them for a byte-level tokenizer file.
 
-    Words met before are taken from a bounded memo. New words are encoded by the library many at a time, side by
-    side in one text: each begins with its blank, no other token does, so the ids fall apart into words again.
+    Words met before are taken from a bounded memo. Of new words, those of letters alone are whole words to the library,
+    so its model encodes them at once; others are encoded many at a time, side by side in one text: each begins with its
+    blank, no other token does, so the ids fall apart into words again.
     """
 
     def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        # A task has one core: threads of the library would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         # Words come once, so the library's own cache of words is of no use.
         self.tokenizer.model._resize_cache(0)
+        self.model = self.tokenizer.model
+        bytes_as_text = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {ord(c): bytes_as_text.pre_tokenize_str(c)[0][0] for c in " " + LETTERS}
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         size = self.tokenizer.get_vocab_size()
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
         begins = np.zeros(size, bool)
         begins[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(BLANK)]] = True
         self.begins = begins
@@ -94,32 +109,41 @@ class ByteEncoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of LETTERS with or without one blank before them."""
+        tokenize, id_bytes, join = self.model.tokenize, self.id_bytes, b"".join
+        return [join([id_bytes[t.id] for t in tokenize(w)]) for w in "\n".join(words).translate(self.spelling).split("\n")]
+
     def _side_by_side(self, words: list[str]) -> list[bytes]:
         """Ids of words that begin with a blank and hold no further white space."""
         found: list[bytes] = []
         for i in range(0, len(words), TOGETHER):
             part = words[i : i + TOGETHER]
-            ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, "<u4")
-            at = np.flatnonzero(self.begins[ids])
+            data = self._library(["".join(part)])[0]
+            at = np.flatnonzero(self.begins[np.frombuffer(data, "<u4")])
             if len(at) != len(part) or at[0] != 0:
                 found += self._library(part)
                 continue
-            data, bounds = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+            bounds = [*(4 * at).tolist(), len(data)]
             found += [data[x:y] for x, y in zip(bounds, bounds[1:])]
         return found
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w[0] == " " and len(w.split()) == 1 and not w[1:2].isspace() and not w[-1].isspace()]
-        self.known.update(zip(plain, self._side_by_side(plain)))
-        if len(plain) < len(words):
-            rest = list(set(words).difference(plain))
+    def _learn(self, words: set[str]) -> None:
+        letters = [w for w in words if _WORD.fullmatch(w)]
+        if letters:
+            self.known.update(zip(letters, self._letters(letters)))
+        if len(letters) < len(words):
+            others = words.difference(letters)
+            plain = [w for w in others if w[0] == " " and len(w.split()) == 1 and not w[1:2].isspace() and not w[-1].isspace()]
+            self.known.update(zip(plain, self._side_by_side(plain)))
+            rest = list(others.difference(plain))
             self.known.update(zip(rest, self._library(rest)))
 
-    def _add(self, new: list[str]) -> None:
-        whole = [w for w in new if w[-1] not in ".," and "\n" not in w]
-        cut = {w: _parts(w) for w in set(new).difference(whole)}
-        self._learn(list({*whole, *chain.from_iterable(cut.values())}.difference(self.known)))
-        known = self.known
+    def _add(self, new: set[str]) -> None:
+        known, cut = self.known, {w: _parts(w) for w in new if w[-1] in ".," or "\n" in w}
+        whole = new.difference(cut)
+        whole.update([p for p in chain.from_iterable(cut.values()) if p not in known])
+        self._learn(whole)
         for w, parts in cut.items():
             if len(parts) > 1:
                 known[w] = b"".join([known[p] for p in parts])
@@ -134,10 +158,12 @@ class ByteEncoder:
             split[i] = []
         flat = list(chain.from_iterable(split))
         ids = list(map(self.known.get, flat))
-        new = {w for w, known in zip(flat, ids) if known is None}
-        if new:
-            self._add(list(new))
-            ids = [self.known[w] if x is None else x for w, x in zip(flat, ids)]
+        unmet = [i for i, x in enumerate(ids) if x is None]
+        if unmet:
+            self._add({flat[i] for i in unmet})
+            known = self.known
+            for i in unmet:
+                ids[i] = known[flat[i]]
         out, at = [], 0
         for pieces_ in split:
             out.append(b"".join(ids[at : at + len(pieces_)]))
@@ -149,9 +175,10 @@ class ByteEncoder:
 
 def _parts(piece: str) -> list[str]:
     """A piece cut once more: at a line feed between words, and before a comma or full stop after a letter."""
-    head, feed, tail = piece.partition("\n")
-    if feed and head and tail and not head[-1].isspace() and not tail[0].isspace():
-        return [*_parts(head), feed, *_parts(tail)]
+    if "\n" in piece:
+        head, feed, tail = piece.partition("\n")
+        if head and tail and not head[-1].isspace() and not tail[0].isspace():
+            return [*_parts(head), feed, *_parts(tail)]
     if len(piece) > 2 and piece[-1] in ".," and piece[-2] < "ɐ" and piece[-2].isalpha():
         return [piece[:-1], piece[-1]]
     return [piece]

@@ -45,3 +45,22 @@ def test_files_count_by_number_beyond_five_digits(spark):
                                   "file string, row bigint, doc_id bigint, n_tokens bigint")
     got = {r.doc_id: r.start for r in token_files.starts(files).select("doc_id", F.col("start")).collect()}
     assert got == {0: 0, 1: 5, 10: 10, 11: 16, 20: 22, 21: 29}
+
+
+def test_words_of_letters_skip_the_word_pattern():
+    encoder = token_files.ByteEncoder(FILE)
+    patterned, library = [], encoder._library
+    encoder._library = lambda texts: patterned.extend(texts) or library(texts)
+    letters = ["Thndre erblen.\nOfnge\nélèveçon, ªµº ÿɏx a", "x", "Thndre Ofnge."]
+    assert encoder.encode(letters) == [plain(t) for t in letters]
+    assert not [t for t in patterned if any(map(str.isalpha, t))]
+    others = ["Жук 12 x9 ɐb é9", "a\n\nb \n c\n", "\n", "\na b", "a\t\nb", "x.\ny,\nz", "a'\ns 't\nre"]
+    assert encoder.encode(others) == [plain(t) for t in others]
+    assert patterned
+
+
+def test_lines_are_no_words_of_the_memo():
+    encoder = token_files.ByteEncoder(FILE)
+    texts = [f"{a} one.\n{b} two" for a in ("Abe", "Bce", "Cde") for b in ("Xyz", "Yzx", "Zxy")]
+    assert encoder.encode(texts) == [plain(t) for t in texts]
+    assert not [w for w in encoder.known if "\n" in w and w != "\n"]
