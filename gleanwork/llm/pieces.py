@@ -57,7 +57,7 @@ POWER = 1.0
 OFFSET = 50.0
 UNKNOWN_RANK = 200_000
 BLOCK_CHARS = 1 << 19
-MEMO_WORDS = 200_000
+MEMO_WORDS = 600_000
 
 
 def words_of(text: str) -> list[str]:
@@ -81,13 +81,16 @@ class _Column:
     """A flat array that grows at its end."""
 
     def __init__(self, dtype: type):
-        self.data = np.zeros(1 << 16, dtype)
+        self.data = np.empty(1 << 16, dtype)
         self.size = 0
 
     def extend(self, values: list | np.ndarray) -> None:
         end = self.size + len(values)
         if end > len(self.data):
-            self.data = np.concatenate([self.data[: self.size], np.zeros(max(self.size, len(values)), self.data.dtype)])
+            # Places not filled yet are not touched, so they take no memory.
+            grown = np.empty(max(end, self.size * 3 // 2), self.data.dtype)
+            grown[: self.size] = self.data[: self.size]
+            self.data = grown
         self.data[self.size : end] = values
         self.size = end
 
@@ -122,7 +125,7 @@ class Lattices:
         self.first = _Column(np.int64)  # first node of each word; a word of n characters has n nodes
         self.edge_at = _Column(np.int64)  # first edge of each node
         self.piece = _Column(np.int32)  # of each edge; outside the vocabulary: -1 - its code
-        self.hop = _Column(np.int32)  # characters that the edge passes
+        self.hop = _Column(np.int8 if self.longest < 128 else np.int32)  # characters that the edge passes
         self.logp = _Column(np.float64)
         self.stay = _Column(np.float64)  # log of the weight of the other edges at its node, -inf where there is none
         self.upto = _Column(np.float64)  # node number and the node's probability up to this edge
@@ -279,10 +282,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _uniform(key: np.ndarray, round_: int, kind: int, place: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) by row key, round, use and place in the text alone."""
-    step = _mix(np.array([round_ * 4 + kind + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15))[0]
-    return (_mix(_mix(key + step) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
+def _stream(key: np.ndarray, round_: int, kind: int) -> np.ndarray:
+    """Seeds by row key, round and use, for `_uniform`."""
+    return _mix(key + _mix(np.array([round_ * 4 + kind + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15))[0])
+
+
+def _uniform(stream: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) by seed and place in the text alone."""
+    return (_mix(stream + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
 class Region:
@@ -317,7 +324,7 @@ class Sampler:
         bounds = np.concatenate([[0], word_end])[np.concatenate([[0], np.cumsum(per_text)])]  # of texts, in characters
         text_of_word = np.repeat(np.arange(n_texts), per_text)
         results: list[list] = [[] for _ in range(n_texts)]
-        first_noise = np.log(-np.log(_uniform(keys, 0, 3, np.zeros(n_texts))))
+        first_noise = np.log(-np.log(_uniform(_stream(keys, 0, 3), np.zeros(n_texts))))
         queues: list[list] = [
             [(noise, t, Region(-1, at, ()))] for t, (noise, at) in enumerate(zip(first_noise.tolist(), bounds.tolist()))]
         order = n_texts
@@ -334,7 +341,7 @@ class Sampler:
             begin = np.maximum(word_at[walk], start[text_of_word[walk]])
             node = net.first.data[numbers[walk]] + begin - word_at[walk]
             barred = {int(start[t]): taken[t][2].barred for t in active if taken[t][2].barred}
-            self._walk(paths[round_], node, begin, word_end[walk], keys[text_of_word[walk]], bounds[:-1][text_of_word[walk]], round_, barred)
+            self._walk(paths[round_], node, begin, word_end[walk], _stream(keys, round_, 0)[text_of_word[walk]], bounds[:-1][text_of_word[walk]], barred)
             places = np.flatnonzero(paths[round_] >= 0)
             edges = paths[round_][places]
             logp = net.logp.data[edges]
@@ -342,7 +349,7 @@ class Sampler:
             text = np.repeat(np.arange(n_texts), np.diff(cuts))
             # Where the path may be left: from the start on. The noise of each part, all texts in step.
             ahead = np.flatnonzero(places >= start[text])
-            u = _uniform(keys[text[ahead]], round_, 1, places[ahead] - bounds[text[ahead]])
+            u = _uniform(_stream(keys, round_, 1)[text[ahead]], places[ahead] - bounds[text[ahead]])
             noise = np.log(-np.log(u))
             parts = np.searchsorted(ahead, cuts).tolist()
             cuts = cuts.tolist()
@@ -385,14 +392,14 @@ class Sampler:
                 a = int(bounds[t])
                 paths[round_, a : region.place] = paths[region.parent, a : region.place]
 
-    def _walk(self, path: np.ndarray, node: np.ndarray, place: np.ndarray, end: np.ndarray, key: np.ndarray,
-              base: np.ndarray, round_: int, barred: dict[int, tuple[int, ...]]) -> None:
+    def _walk(self, path: np.ndarray, node: np.ndarray, place: np.ndarray, end: np.ndarray, stream: np.ndarray,
+              base: np.ndarray, barred: dict[int, tuple[int, ...]]) -> None:
         """Draw edges from each node to its word's end, all words in step."""
         net = self.lattices
         upto, hop, edge_at = net.upto.data, net.hop.data, net.edge_at.data
         first_step = True
         while len(node):
-            u = _uniform(key, round_, 0, place - base)
+            u = _uniform(stream, place - base)
             # Long pieces, the likelier ones, come first, so few are asked twice; the last one always holds.
             edge, mark = edge_at[node], node + u
             on = np.flatnonzero(upto[edge] <= mark)
@@ -407,7 +414,7 @@ class Sampler:
             step = hop[edge]
             node, place = node + step, place + step
             on = place < end
-            node, place, end, key, base = node[on], place[on], end[on], key[on], base[on]
+            node, place, end, stream, base = node[on], place[on], end[on], stream[on], base[on]
 
     def _other(self, node: int, barred: tuple[int, ...], u: float) -> int:
         """An edge of the node that is not barred, drawn by weight."""
@@ -433,7 +440,7 @@ class Codec:
         plain = [w[1:].replace(BLANK, " ") for w in words]
         ids = self.processor.encode(plain, num_threads=1)
         for i, word in enumerate(plain):
-            if not word.strip(" "):  # the library sees no blank in an empty text, so something stands before
+            if not word or word[-1] == " ":  # blanks alone: the library sees no blank in an empty text, so something stands before
                 ids[i] = self.processor.encode("a" + " " * (len(word) + 1))[len(self.processor.encode("a")):]
         return ids
 

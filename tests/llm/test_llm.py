@@ -524,3 +524,18 @@ def test_pipeline_stages(spark):
     copies = {r.doc_id: r.copies for r in mixing.mix_sources(apart).collect()}
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({i: c for i, c in copies.items() if c})
     assert mixed.columns == source.columns
+
+
+def test_columns_grow_by_half_and_keep_their_values():
+    column = pieces._Column(np.int32)
+    for i in range(40):
+        column.extend(np.arange(10_000) + i)
+    assert column.size == 400_000 and len(column.data) <= 600_000
+    assert column.data[: column.size].tolist() == [x + i for i in range(40) for x in range(10_000)]
+
+
+def test_words_are_worked_out_once_while_the_memo_has_room(codec):
+    words = [[f"{pieces.BLANK}w{i}x{j}" for j in range(1000)] for i in range(300)]
+    for _ in range(2):
+        met = [codec.lattices.words(words[i : i + 50]).numbers for i in range(0, 300, 50)]
+    assert len(set(np.concatenate(met).tolist())) == 300_000
