@@ -57,7 +57,7 @@ POWER = 1.0
 OFFSET = 50.0
 UNKNOWN_RANK = 200_000
 BLOCK_CHARS = 1 << 19
-MEMO_WORDS = 600_000
+MEMO_WORDS = 350_000
 
 
 def words_of(text: str) -> list[str]:
