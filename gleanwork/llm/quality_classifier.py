@@ -12,8 +12,8 @@ counts twice.
 
 Everything about sites is grouped aggregation: per document one narrow row, per section and host one row of
 sums. Documents meet their section in `lookup_join`, which answers hot sections from a bounded broadcast. Only a
-handful of global numbers reach the driver. The model is fitted by Spark on about `MAX_FIT` labelled ids, drawn
-by hash.
+handful of global numbers and the coefficients reach the driver. The models are fitted by Spark on the texts of all
+labelled ids, which are kept as vectors.
 
 Defined results
 ---------------
@@ -33,16 +33,17 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, NGram, Normalizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.llm.quality_rules import words
+from gleanwork.llm.quality_rules import bind, words
+from gleanwork.llm.url_filter import MAX_KEYS, Level
 from gleanwork.operators.lookup import lookup_join
 from gleanwork.session import staged
 
-MAX_FIT = 20_000
+SHAPE = ("symbols", "capitals", "bars", "twins", "shouts", "stops", "length")
 WIDTH = 1 << 13  # places for hashed words, and as many for pairs
 TERM_RIDGE, RIDGE, ROUNDS = 0.1, 1e-3, 25
 KEEP_ABOVE = 0.5
@@ -58,59 +59,69 @@ class Evidence(NamedTuple):
     base: float
 
 
-def shape(text: Column) -> dict[str, Column]:
-    """Shares of symbols, capitals and bars, repetition, length, sentence marks."""
+def shape(text: Column, tokens: Column) -> dict[str, Column]:
+    """Shares of symbols, capitals and bars, repetition, length, sentence marks; `tokens` are the words of the text."""
     body = F.coalesce(text, F.lit(""))
     chars = F.greatest(F.length(body), F.lit(1))
-    n_words = F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]+"))
+    n_words = F.size(tokens)
     n = F.greatest(n_words, F.lit(1))
+
+    def marks(mark: str) -> Column:
+        return F.length(body) - F.length(F.replace(body, F.lit(mark), F.lit("")))
+
     return {
         "symbols": F.regexp_count(body, F.lit("[#*$%&<>]")) / chars,
         "capitals": F.regexp_count(body, F.lit(r"\p{Lu}")) / chars,
-        "bars": F.regexp_count(body, F.lit("[|]")) / n,
-        "twins": F.regexp_count(body, F.lit(r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D]))")) / n,
-        "shouts": F.regexp_count(body, F.lit("!")) / n,
-        "stops": F.regexp_count(body, F.lit("[.]")) / n,
+        "bars": marks("|") / n,
+        "twins": bind(tokens, lambda t: F.size(F.filter(t, lambda w, i: w == F.get(t, i + 1)))) / n,
+        "shouts": marks("!") / n,
+        "stops": marks(".") / n,
         "length": F.log1p(n_words) / 10.0,
     }
 
 
 def _prepared(rows: DataFrame) -> DataFrame:
-    """`rows` (with `text`) with words and shape in the columns the model reads."""
-    made = shape(F.col("text"))
-    return rows.select(*[c for c in rows.columns if c != "text"], words(F.col("text")).alias("words"), *[c.alias(n) for n, c in made.items()])
+    """`rows` (with `text`) with words, pairs and shape in the columns the model reads."""
+    made = shape(F.col("text"), F.col("words"))
+    pairs = bind(F.col("words"), lambda t: F.transform(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), lambda w, i: F.concat(F.get(t, i), F.lit(" "), w)))
+    split = rows.withColumn("words", words(F.col("text")))
+    return split.select(*[c for c in rows.columns if c != "text"], "words", pairs.alias("pairs"), *[c.alias(n) for n, c in made.items()])
 
 
 def _stages() -> list:
-    terms = [NGram(n=2, inputCol="words", outputCol="pairs")]
+    terms = []
     for name in ("words", "pairs"):
         terms.append(HashingTF(numFeatures=WIDTH, inputCol=name, outputCol=f"{name}_counts"))
         terms.append(Normalizer(inputCol=f"{name}_counts", outputCol=f"{name}_shares"))
     return [*terms, VectorAssembler(inputCols=["words_shares", "pairs_shares"], outputCol="terms")]
 
 
-def fit_evidence(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-                 max_fit: int = MAX_FIT) -> Evidence:
-    """The model of labelled documents; `labels` has `key` and a 0/1 column `label`."""
+def _met(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """`docs` (id, text) that `known` (id, label) labels. A Bloom filter of its ids spares most other texts the shuffle."""
+    n_known = known.count()
+    if n_known <= MAX_KEYS and docs.schema["id"].dataType == known.schema["id"].dataType:
+        docs = docs.where(Level(known.select(F.col("id").alias("key")), n_known, 0).holds(F.col("id")))
+    return docs.join(known, "id")
+
+
+def fit_evidence(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Evidence:
+    """The model of all labelled documents; `labels` has `key` and a 0/1 column `label`."""
     known = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("double").alias("label")).where("label is not null and id is not null")
-    known = known.groupBy("id").agg(F.max("label").alias("label"))
-    share = min(max_fit / max(known.count(), 1), 1.0)
-    drawn = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    met = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(drawn, "id")
-    sample = staged(met.groupBy("id").agg(F.max("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text")), "labelled")
-    kinds = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(kinds) < 2:
-        return Evidence(None, 0.0)
+    known = staged(known.groupBy("id").agg(F.max("label").alias("label")), "known")
+    met = _met(docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")), known)
+    learnable = met.groupBy("id").agg(F.max("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
     steps = _stages()
-    rows = PipelineModel(steps).transform(_prepared(sample)).withColumn("half", F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)))
-    rows = staged(rows.select("label", "half", "terms", *shape(F.lit(""))), "vectors")
+    rows = PipelineModel(steps).transform(_prepared(learnable)).withColumn("half", F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)))
+    rows = staged(rows.select("label", "half", "terms", *SHAPE), "vectors")
+    if rows.select("label").distinct().count() < 2:
+        return Evidence(None, 0.0)
     halves = [rows.where(F.col("half") == h) for h in (0, 1)]
     if any(h.select("label").distinct().count() < 2 for h in halves):
         halves = [rows, rows]
     term_model = LogisticRegression(
         regParam=TERM_RIDGE, maxIter=ROUNDS, featuresCol="terms", labelCol="label", rawPredictionCol="term_odds",
         probabilityCol="term_chance", predictionCol="term_says").fit(halves[0])
-    whole = VectorAssembler(inputCols=[*shape(F.lit("")), "term_odds"], outputCol="features")
+    whole = VectorAssembler(inputCols=[*SHAPE, "term_odds"], outputCol="features")
     learnt = whole.transform(term_model.transform(halves[1]))
     fitted = LogisticRegression(regParam=RIDGE, maxIter=ROUNDS, featuresCol="features", labelCol="label").fit(learnt)
     seen = learnt.agg(F.avg("label")).first()[0]
@@ -178,20 +189,20 @@ def judge_sites(rows: DataFrame, base: float = 0.0, keep_above: float = KEEP_ABO
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, key: str = "doc_id", text: str = "text",
-             label: str = "quality", max_fit: int = MAX_FIT, keep_above: float = KEEP_ABOVE) -> DataFrame:
+             label: str = "quality", keep_above: float = KEEP_ABOVE) -> DataFrame:
     """One row per document: `key`, evidence, host_rate, path_rate, posterior, kept.
 
     `host` and `path` are expressions over `docs`.
     """
-    evidence = fit_evidence(docs, labels, key, text, label, max_fit)
+    evidence = fit_evidence(docs, labels, key, text, label)
     rows = docs.select(F.col(f"`{key}`").alias("id"), host.alias("host"), path.alias("path"), F.col(f"`{text}`").alias("text"))
     return _named(judge_sites(with_evidence(rows, evidence), evidence.base, keep_above), key)
 
 
 def classify_other(rows: DataFrame, docs: DataFrame, labels: DataFrame, host: Column, path: Column, key: str, text: str = "text",
-                   doc_key: str = "doc_id", doc_text: str = "text", label: str = "quality", max_fit: int = MAX_FIT) -> DataFrame:
+                   doc_key: str = "doc_id", doc_text: str = "text", label: str = "quality") -> DataFrame:
     """As `classify`, for `rows` of another table than the labelled `docs` the model is fitted on."""
-    evidence = fit_evidence(docs, labels, doc_key, doc_text, label, max_fit)
+    evidence = fit_evidence(docs, labels, doc_key, doc_text, label)
     told = rows.select(F.col(f"`{key}`").alias("id"), host.alias("host"), path.alias("path"), F.col(f"`{text}`").alias("text"))
     return _named(judge_sites(with_evidence(told, evidence), evidence.base), key)
 

@@ -465,6 +465,51 @@ def test_classifier_shrinks_sparse_sites(spark, corpus):
     assert quality_classifier.classify(docs_of(spark, []), labels, F.col("source"), F.col("lang")).count() == 0
 
 
+def test_classifier_is_fitted_on_every_label(spark, monkeypatch):
+    """A draw of 20,000 ids by hash, as there once was, has none of the good ones."""
+    fitted_on = []
+
+    class Counting(quality_classifier.LogisticRegression):
+        def fit(self, dataset, params=None):
+            fitted_on.append(dataset.count())
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(quality_classifier, "LogisticRegression", Counting)
+    ids = spark.range(21_000).withColumn("good", F.pmod(F.xxhash64("id"), F.lit(1_000_000)) >= 960_000)
+    text = F.when(F.col("good"), F.concat(F.lit("a calm text about the sea, number "), F.col("id"))).otherwise(F.concat(F.lit("BUY BUY now!!! | $ | "), F.col("id")))
+    docs = ids.select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"))
+    labels = ids.select(F.col("id").alias("doc_id"), F.col("good").cast("int").alias("quality"))
+    evidence = quality_classifier.fit_evidence(docs, labels)
+    assert evidence.model is not None and sum(fitted_on) == 21_000
+    rows = docs.join(labels, "doc_id").where("doc_id % 7 = 0").select(F.col("doc_id").alias("id"), "text", "quality")
+    judged = quality_classifier.with_evidence(rows, evidence)
+    assert judged.where((F.col("evidence") + evidence.base > 0) != (F.col("quality") == 1)).count() == 0
+
+
+def test_labelled_texts_meet_ids_of_another_type(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, None)], "id bigint, text string")
+    for kind in ("bigint", "int", "string"):
+        known = spark.createDataFrame([(1, 1.0), (3, 0.0), (9, 1.0)], "id bigint, label double").withColumn("id", F.col("id").cast(kind))
+        got = {(int(r.id), r.text, r.label) for r in quality_classifier._met(docs, known).collect()}
+        assert got == {(1, "a", 1.0), (1, "b", 1.0), (3, None, 0.0)}
+
+
+def test_shape_by_patterns(spark):
+    rng = random.Random(4)
+    signs = ["a", "a", "aa", "É", "|", "!", ".", "$", " ", " ", "  ", "\t", "\n", "\x0b", "\x1c", "\xa0", "a a", "no no"]
+    texts = [None, "", " ", "a a a", "aa a", "a aa", *("".join(rng.choice(signs) for _ in range(rng.randint(1, 40))) for _ in range(200))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for r in quality_classifier._prepared(rows).join(rows, "id").collect():
+        body = r.text or ""
+        tokens = re.findall(r"[^\x20\x09-\x0D]+", body)
+        twins = re.findall(r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D]))", body)
+        n = max(len(tokens), 1)
+        assert (r.words, r.pairs) == (tokens, [f"{a} {b}" for a, b in zip(tokens, tokens[1:])])
+        assert (r.twins, r.bars, r.shouts, r.stops) == (len(twins) / n, body.count("|") / n, body.count("!") / n, body.count(".") / n)
+        assert r.symbols == body.count("$") / max(len(body), 1) and r.capitals == body.count("É") / max(len(body), 1)
+        assert r.length == pytest.approx(math.log1p(len(tokens)) / 10)
+
+
 def strength_of(groups):
     """`groups` are (n, rate, prior): the Beta prior's size by moments."""
     many = [(n, r, p, p * (1 - p)) for n, r, p in groups if n > 1 and p * (1 - p) > 0]
