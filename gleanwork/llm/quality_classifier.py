@@ -41,11 +41,12 @@ from pyspark.sql import functions as F
 from gleanwork.llm.quality_rules import bind, words
 from gleanwork.llm.url_filter import MAX_KEYS, Level
 from gleanwork.operators.lookup import lookup_join
-from gleanwork.session import staged
+from gleanwork.session import setting, staged
 
 SHAPE = ("symbols", "capitals", "bars", "twins", "shouts", "stops", "length")
 WIDTH = 1 << 13  # places for hashed words, and as many for pairs
 TERM_RIDGE, RIDGE, ROUNDS = 0.1, 1e-3, 25
+VECTORS_AT_ONCE = "64"  # a reader's batch of the usual 4,096 would be arrays of many MB beside the rows a fit holds
 KEEP_ABOVE = 0.5
 # Bounds of the shrinking strengths, in documents.
 WEAKEST, STRONGEST = 2.0, 10_000.0
@@ -115,6 +116,12 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     rows = staged(rows.select("label", "half", "terms", *SHAPE), "vectors")
     if rows.select("label").distinct().count() < 2:
         return Evidence(None, 0.0)
+    with setting(docs.sparkSession, "spark.sql.parquet.columnarReaderBatchSize", VECTORS_AT_ONCE):
+        return _fitted(rows, steps)
+
+
+def _fitted(rows: DataFrame, steps: list) -> Evidence:
+    """Both models fitted on `rows` (label, half, terms, shape)."""
     halves = [rows.where(F.col("half") == h) for h in (0, 1)]
     if any(h.select("label").distinct().count() < 2 for h in halves):
         halves = [rows, rows]

@@ -467,11 +467,13 @@ def test_classifier_shrinks_sparse_sites(spark, corpus):
 
 def test_classifier_is_fitted_on_every_label(spark, monkeypatch):
     """A draw of 20,000 ids by hash, as there once was, has none of the good ones."""
-    fitted_on = []
+    fitted_on, batch = [], "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(batch)
 
     class Counting(quality_classifier.LogisticRegression):
         def fit(self, dataset, params=None):
             fitted_on.append(dataset.count())
+            assert spark.conf.get(batch) == "64"
             return super().fit(dataset, params)
 
     monkeypatch.setattr(quality_classifier, "LogisticRegression", Counting)
@@ -481,6 +483,7 @@ def test_classifier_is_fitted_on_every_label(spark, monkeypatch):
     labels = ids.select(F.col("id").alias("doc_id"), F.col("good").cast("int").alias("quality"))
     evidence = quality_classifier.fit_evidence(docs, labels)
     assert evidence.model is not None and sum(fitted_on) == 21_000
+    assert spark.conf.get(batch) == before
     rows = docs.join(labels, "doc_id").where("doc_id % 7 = 0").select(F.col("doc_id").alias("id"), "text", "quality")
     judged = quality_classifier.with_evidence(rows, evidence)
     assert judged.where((F.col("evidence") + evidence.base > 0) != (F.col("quality") == 1)).count() == 0
